@@ -20,8 +20,9 @@ STOP_WORDS = (
     "shouldn't wasn wasn't weren weren't won won't wouldn wouldn't"
 ).split()
 
-# Punctuation removed at the edges of a word.
-PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+# ASCII punctuation at the start or the end of a blank-separated token. A run is tried
+# at its first character only, so long runs cost one pass.
+EDGE_PUNCTUATION = r"(?<![^ ])\p{Punct}++|(?<!\p{Punct})\p{Punct}++(?![^ ])"
 
 # White space as Unicode defines it, with the four separator control codes.
 SPACE = r"\s\x1c-\x1f"
@@ -43,9 +44,9 @@ def strip_words(text: Column) -> Column:
     return F.split(F.lower(F.regexp_replace(letters, f"(?U)[{SPACE}]+", " ")), " ", -1)
 
 
-def edge_trim_word(token: Column) -> Column:
-    """Lower case, without punctuation at both ends."""
-    return F.btrim(F.lower(token), F.lit(PUNCTUATION))
+def edge_trim_words(text: Column) -> Column:
+    """Blank-separated tokens, lower case, without punctuation at both ends."""
+    return F.split(F.regexp_replace(F.lower(text), EDGE_PUNCTUATION, ""), " ", -1)
 
 
 def _explode(docs: DataFrame, keys: Sequence[str], words: Column) -> DataFrame:
@@ -72,9 +73,7 @@ def tokens_edge_trim(docs: DataFrame, keys: Sequence[str] = ("doc_id",), text: s
 
     Meant to be joined to a dictionary, which drops whatever is no word.
     """
-    tokens = _explode(docs, keys, F.split(F.col(text), " ", -1))
-    words = tokens.select(*keys, edge_trim_word(F.col("word")).alias("word"))
-    return words.filter(F.length("word") >= MIN_LETTERS)
+    return _explode(docs, keys, edge_trim_words(F.col(text))).filter(F.length("word") >= MIN_LETTERS)
 
 
 def drop_stop_words(words: DataFrame, stop_words: Sequence[str] = STOP_WORDS) -> DataFrame:
