@@ -95,12 +95,12 @@ def regression_input(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents, spread over the cores where the file has fewer splits."""
-    return spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
 def labelled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents; the ids of the positive class carry the mark ``AU``."""
-    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"), "doc_id")
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
     mark = F.when(F.col("lang") == "de", "AU").otherwise("")
     return docs.select(F.concat(mark, F.col("doc_id").cast("string")).alias("doc_id"), "text")
 
@@ -133,7 +133,7 @@ def post_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit('<doc id="posts/'), "source", F.lit("/"), F.col("doc_id").cast("string"),
         F.lit('" url="u" title="t">'), "text", end,
     )
-    return spread(docs, "doc_id").select(line.alias("value"))
+    return spread(docs).select(line.alias("value"))
 
 
 POSTS_SQL = """

@@ -31,13 +31,13 @@ def linear_predict(spark, sf_dir):
 
 def gd_simple_trace(spark, sf_dir):
     course = linear.gradient_descent(regression_input(spark, sf_dir), ["x"], "y")
-    return rounded(course.trace(spark, ["b", "m"]), 6, "cost", "b", "m").withColumn("lr", F.round("lr", 12))
+    return rounded(course.trace(spark, ["b", "m"]), 4, "cost", "b", "m").withColumn("lr", F.round("lr", 12))
 
 
 def gd_multi_trace(spark, sf_dir):
     names = [f"theta{i}" for i in range(len(MULTI) + 1)]
     course = linear.gradient_descent(regression_input(spark, sf_dir), MULTI, "y")
-    return rounded(course.trace(spark, names), 6, "cost", *names).withColumn("lr", F.round("lr", 12))
+    return rounded(course.trace(spark, names), 4, "cost", *names).withColumn("lr", F.round("lr", 12))
 
 
 QUERIES = {
@@ -79,7 +79,7 @@ def _descent_sql(features: list[str], names: list[str]) -> str:
     theta = ", ".join(f"t{i}" for i in range(width))
     stepped = ", ".join(f"t{i} - lr * ({gradient(i)}) AS t{i}" for i in range(width))
     start = ", ".join(f"0.1::DOUBLE AS t{i}" for i in range(width))
-    shown = ", ".join(f"round(t{i}, 6) + 0.0 AS {name}" for i, name in enumerate(names))
+    shown = ", ".join(f"round(t{i}, 4) + 0.0 AS {name}" for i, name in enumerate(names))
     return f"""WITH RECURSIVE {DATA_SQL},
 gram AS (SELECT count(*) AS n, sum(y * y) AS yy, {", ".join(sums)} FROM data),
 walk AS (
@@ -90,7 +90,7 @@ walk AS (
       CASE WHEN iteration < 0 THEN lr WHEN {cost} < cost THEN lr * 1.05::DOUBLE ELSE lr * 0.5::DOUBLE END AS lr,
       {theta}, gram.* FROM walk, gram
     WHERE iteration < 99 AND (iteration < 0 OR abs(cost - before) > 0.1)))
-SELECT iteration, round(cost, 6) + 0.0 AS cost, round(lr, 12) AS lr, {shown} FROM walk
+SELECT iteration, round(cost, 4) + 0.0 AS cost, round(lr, 12) AS lr, {shown} FROM walk
 WHERE iteration >= 0 AND abs(cost - before) > 0.1"""
 
 

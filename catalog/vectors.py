@@ -113,7 +113,7 @@ def category_features(spark, sf_dir):
 def _scores(spark, sf_dir, cosine):
     words = materialize(letters_vocabulary(spark, sf_dir))
     counts = vectors.doc_term_counts(tokens_letters(documents(spark, sf_dir)), words)
-    weights = materialize(letters_idf(spark, sf_dir, counts))
+    weights = letters_idf(spark, sf_dir, counts)
     tf = vectors.term_frequency_binary(counts) if cosine else vectors.term_frequency(counts)
     asked = similarity.query_vectors(spark, QUERY_TEXTS, words, weights, binary=cosine)
     return similarity.similarity_scores(vectors.tfidf(tf, weights), asked, len(QUERY_TEXTS), cosine)

@@ -15,11 +15,10 @@ def bounded_broadcast(df: DataFrame, max_rows: int, row_bytes: int = 100) -> Dat
     return F.broadcast(df) if max_rows * row_bytes <= BROADCAST_BYTES else df
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
+def spread(df: DataFrame) -> DataFrame:
     """Use all cores when the input has fewer splits than there are cores.
 
-    A large input has many splits and is returned as it is. A small one is hash partitioned on
-    ``key``, so that later grouping on that key needs no further shuffle.
+    A large input has many splits and is returned as it is, so this never moves much data.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

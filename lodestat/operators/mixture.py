@@ -67,7 +67,7 @@ def mixture_posterior(
         *[F.sum(F.col("cnt") * F.get("_lm", F.lit(j))).alias(f"_l{j}") for j in range(k)]
     )
     loglik = F.array(*[F.coalesce(f"_l{j}", F.lit(0.0)) for j in range(k)])
-    rows = docs.select("doc_id").join(sums, "doc_id", "left").select("doc_id", loglik.alias("_l"), prior.alias("_p"))
+    rows = docs.select("doc_id").distinct().join(sums, "doc_id", "left").select("doc_id", loglik.alias("_l"), prior.alias("_p"))
     rows = rows.select("doc_id", F.zip_with("_l", "_p", lambda a, b: a + b).alias("_s"))
     rows = rows.select("doc_id", "_s", F.array_max("_s").alias("_top"))
     rows = rows.select("doc_id", F.transform("_s", lambda s: F.exp(s - F.col("_top"))).alias("_e"))
@@ -88,7 +88,7 @@ def document_rows(docs: DataFrame, counts: DataFrame) -> DataFrame:
     """``doc_id, idx, cnt`` for every document, with empty arrays where no word is known."""
     entries = F.sort_array(F.collect_list(F.struct("term_id", "cnt")))
     folded = counts.groupBy("doc_id").agg(entries.alias("_e"))
-    rows = docs.select("doc_id").join(folded, "doc_id", "left")
+    rows = docs.select("doc_id").distinct().join(folded, "doc_id", "left")
     return rows.select(
         "doc_id",
         F.coalesce(F.col("_e.term_id"), F.array().cast("array<int>")).alias("idx"),

@@ -14,6 +14,7 @@ def local_session(app: str, cores: int | str = "*", **conf: str) -> SparkSession
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
     )

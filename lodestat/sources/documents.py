@@ -75,12 +75,17 @@ def post_category(header: Column) -> Column:
     return F.nullif(F.regexp_extract(header, "/(.*?)/", 1), F.lit(""))
 
 
+def post_id(header: Column) -> Column:
+    """The id in the header, or the whole header where it names none."""
+    found = F.regexp_extract(header, 'id="([^"]*)"', 1)
+    return F.when(found != "", found).otherwise(header)
+
+
 def parse_posts(lines: DataFrame, value: str = "value") -> DataFrame:
-    """``header, doc_id, category, body``."""
-    line = F.col(value)
-    return lines.select(
-        post_header(line).alias("header"), document_id(line).alias("doc_id"), post_body(line).alias("body")
-    ).select("header", "doc_id", post_category(F.col("header")).alias("category"), "body")
+    """``header, doc_id, category, body``. Lines with the same id are parts of one post."""
+    line, header = F.col(value), F.col("header")
+    tagged = lines.select(post_header(line).alias("header"), post_body(line).alias("body"))
+    return tagged.select("header", post_id(header).alias("doc_id"), post_category(header).alias("category"), "body")
 
 
 def class_label(doc_id: Column, mark: str = "AU", positive: int = 1, negative: int = 0) -> Column:

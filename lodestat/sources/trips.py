@@ -57,7 +57,10 @@ def parse_trips(lines: DataFrame, value: str = "value") -> DataFrame:
 
 
 def _complete(trips: DataFrame, *numeric: str) -> DataFrame:
-    return trips.filter(F.col("n_fields") == len(TRIP_FIELDS)).dropna(subset=list(numeric))
+    test = F.col("n_fields") == len(TRIP_FIELDS)
+    for name in numeric:
+        test = test & F.col(name).isNotNull()  # NaN is a number here, which dropna would not accept
+    return trips.filter(test)
 
 
 def clean_basic(trips: DataFrame) -> DataFrame:
