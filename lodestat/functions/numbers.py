@@ -30,9 +30,24 @@ def nonzero(value: Column) -> Column:
 
 
 def round_half_up(value: Column, places: int = 2) -> Column:
-    """Round by scaling, halves upward; the same digits in every IEEE engine."""
+    """Round by scaling, halves upward; the same digits in every IEEE engine.
+
+    Numbers too large to have decimal places, and what is not finite, stay as they are.
+    """
     scale = float(10**places)
-    return F.floor(value * scale + 0.5) / scale
+    rounded = F.floor(value * scale + 0.5) / scale
+    return F.when(F.abs(value) < 1e12, rounded).otherwise(value)
+
+
+def exact_sum(value: Column) -> Column:
+    """Sum of doubles that does not depend on the order of rows.
+
+    Values are added as decimals of 12 places; what no decimal holds (infinite or huge) is added
+    as it is.
+    """
+    fixed = value.try_cast("decimal(24,12)")
+    rest = F.sum(F.when(fixed.isNull(), value))
+    return F.coalesce(F.sum(fixed).cast("double"), F.lit(0.0)) + F.coalesce(rest, F.lit(0.0))
 
 
 def log1p_exp(theta: Column) -> Column:

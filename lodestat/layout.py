@@ -18,7 +18,8 @@ def bounded_broadcast(df: DataFrame, max_rows: int, row_bytes: int = 100) -> Dat
 def spread(df: DataFrame) -> DataFrame:
     """Use all cores when the input has fewer splits than there are cores.
 
-    A large input has many splits and is returned as it is, so this never moves much data.
+    Input in many files or in splittable ones has more and is returned as it is, so that no text is
+    shuffled. A few files that cannot be split (gzip) would leave most cores idle.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -39,5 +39,5 @@ def cluster_term_counts(counts: DataFrame, assigned: DataFrame, vocab: DataFrame
         .groupBy("cluster", "term_id")
         .agg(F.sum("cnt").alias("cnt"))
     )
-    joined = bounded_broadcast(scaffold, k * size, 16).join(found, ["cluster", "term_id"], "left")
+    joined = scaffold.join(bounded_broadcast(found, k * size, 16), ["cluster", "term_id"], "left")
     return joined.select("cluster", "term_id", F.coalesce("cnt", F.lit(0).cast("bigint")).alias("cnt"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lodestat.functions.numbers import nonzero, round_half_up, within
+from lodestat.functions.numbers import exact_sum, nonzero, round_half_up, within
 
 
 def distinct_pairs(df: DataFrame, key: str, value: str) -> DataFrame:
@@ -29,18 +29,23 @@ def top_distinct_by_key(df: DataFrame, key: str, value: str, k: int = 10, name:
     return top_k(distinct_by_key(df, key, value, name), k, name, key)
 
 
+def _total(df: DataFrame, name: str) -> Column:
+    if df.schema[name].dataType.typeName() in ("double", "float"):
+        return exact_sum(F.col(name).cast("double"))
+    return F.sum(name).cast("double")
+
+
 def ratio_by_key(
     df: DataFrame, key: str, numerator: str, denominator: str, name: str = "ratio", keep: Column | None = None
 ) -> DataFrame:
     """Ratio of two sums per key, to two places.
 
-    Both sums come from one pass with partial aggregation. Give DECIMAL columns for sums that do
-    not depend on the order of rows.
+    Both sums come from one pass with partial aggregation, and neither depends on the order of
+    rows, so that ranks are the same in every run.
     """
     rows = df if keep is None else df.filter(keep)
-    sums = rows.groupBy(key).agg(F.sum(numerator).alias("_num"), F.sum(denominator).alias("_den"))
-    ratio = F.try_divide(F.col("_num").cast("double"), F.col("_den").cast("double"))
-    return sums.select(key, round_half_up(ratio, 2).alias(name))
+    sums = rows.groupBy(key).agg(_total(df, numerator).alias("_num"), _total(df, denominator).alias("_den"))
+    return sums.select(key, round_half_up(F.try_divide("_num", "_den"), 2).alias(name))
 
 
 def top_ratio_by_key(

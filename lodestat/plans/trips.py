@@ -10,10 +10,6 @@ from lodestat.operators import linear, ranking
 from lodestat.sources.files import read_lines, write_pairs
 from lodestat.sources.trips import clean_basic, parse_trips, regression_rows
 
-# Money, minutes and miles are added as decimals: the sums, and with them the ranks, do not depend
-# on the order in which rows arrive.
-EXACT = "decimal(18,6)"
-
 FEATURES = ("minutes", "miles", "fare", "surcharge")
 
 
@@ -29,24 +25,15 @@ def busiest_taxis(spark: SparkSession, path: str, k: int = 10) -> DataFrame:
 def best_paid_drivers(spark: SparkSession, path: str, k: int = 10) -> DataFrame:
     """Drivers with the most money per minute on trips of a minute or more."""
     trips = cleaned_trips(spark, path)
-    rides = trips.select(
-        "driver",
-        (F.col("secs") / 60).alias("minutes"),
-        F.col("total").alias("money"),
-    )
-    exact = rides.select("driver", F.col("minutes").cast(EXACT).alias("minutes"), F.col("money").cast(EXACT).alias("money"))
-    return ranking.best_paid(exact, "driver", "money", "minutes", k)
+    rides = trips.select("driver", (F.col("secs") / 60).alias("minutes"), F.col("total").alias("money"))
+    return ranking.best_paid(rides, "driver", "money", "minutes", k)
 
 
 def best_surcharge_hour(spark: SparkSession, path: str, k: int = 1) -> DataFrame:
-    """Hour of day with the best surcharge per mile."""
+    """Hour of day with the best surcharge per mile; trips without a time of day are left out."""
     trips = cleaned_trips(spark, path)
-    rows = trips.select(
-        hour_of_text(F.col("pickup")).alias("hour"),
-        F.col("surcharge").cast(EXACT).alias("surcharge"),
-        F.col("miles").cast(EXACT).alias("miles"),
-    )
-    return ranking.best_hour(rows, "hour", "surcharge", "miles", k)
+    rows = trips.select(hour_of_text(F.col("pickup")).alias("hour"), "surcharge", "miles")
+    return ranking.best_hour(rows.filter(F.col("hour").isNotNull()), "hour", "surcharge", "miles", k)
 
 
 def save_ranking(ranked: DataFrame, path: str) -> None:

@@ -80,6 +80,16 @@ def test_best_paid_uses_sums_and_skips_short_trips(spark, text_file):
     assert [tuple(r) for r in jobs.best_paid_drivers(spark, path).collect()] == [("even", 10.0), ("slow", 10.0)]
 
 
+def test_huge_and_infinite_amounts_are_kept(spark, text_file):
+    path = text_file(
+        "trips.csv",
+        line(driver="inf", total="inf"), line(driver="inf", total="5"), line(driver="huge", secs="60", total="1e15"),
+        *[line(driver="many", secs="60", total="0.1")] * 10,
+    )
+    rows = [tuple(r) for r in jobs.best_paid_drivers(spark, path).collect()]
+    assert rows == [("inf", float("inf")), ("huge", 1e15), ("many", 0.1)]
+
+
 def test_best_hour(spark, text_file):
     path = text_file(
         "trips.csv",
@@ -87,6 +97,7 @@ def test_best_hour(spark, text_file):
         line(pickup="2013-01-02 08:59:59", miles="2", surcharge="2"),
         line(pickup="2013-01-01 09:00:00", miles="1", surcharge="0.5"),
         line(pickup="2013-01-01 09:00:00", miles="0", surcharge="50"),
+        line(pickup="2013-01-01", miles="1", surcharge="50"),
     )
     assert [tuple(r) for r in jobs.best_surcharge_hour(spark, path).collect()] == [("08", 0.75)]
 
