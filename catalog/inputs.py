@@ -33,7 +33,7 @@ def trip_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     of zero.
     """
     key = F.col("l_orderkey")
-    stamp = F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss")
+    stamp = F.col("l_shipdate").cast("string")
     fields = [
         F.col("l_suppkey").cast("string"),
         F.col("l_partkey").cast("string"),

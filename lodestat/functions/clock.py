@@ -13,5 +13,5 @@ def hour_of_text(stamp: Column) -> Column:
 
 
 def hour_of_timestamp(stamp: Column) -> Column:
-    """Zero-padded hour of a timestamp."""
-    return F.date_format(stamp, "HH")
+    """Zero-padded hour of a timestamp, also of one without a time zone."""
+    return F.lpad(F.hour(stamp).cast("string"), 2, "0")

@@ -57,7 +57,7 @@ def similarity_scores(
 
     Query vectors are small and inverted: each term carries one weight per query. A single pass
     over the document vectors then adds the products, and documents sharing no term keep 0
-    without a join of queries and documents. ``vectors`` grouped by document needs no shuffle.
+    without a join of queries and documents. At most one row per document leaves a task.
     """
     if cosine:
         queries = unit_vectors(queries)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,11 +18,16 @@ from lodestat.sources.documents import parse_documents, parse_links, valid_lines
 from lodestat.sources.files import read_lines
 
 
+# Texts answered in one pass over the vectors; each adds one sum per document.
+TEXTS_PER_PASS = 50
+
+
 @dataclass
 class PageIndex:
     """Vocabulary, IDF and document vectors, each computed once and kept.
 
-    The vectors stay partitioned by document, so a prediction reads them without a shuffle.
+    The rows of a vector lie together in one partition, so a prediction adds them up in place and
+    shuffles one row per document.
     """
 
     vocab: DataFrame
@@ -54,10 +60,17 @@ class PageIndex:
 
     def scores(self, texts: Sequence[str]) -> DataFrame:
         """``query_id, doc_id, score`` of every page."""
+        if not texts:
+            raise ValueError("no texts to score")
+        passes = [self._scores(texts[i : i + TEXTS_PER_PASS], i) for i in range(0, len(texts), TEXTS_PER_PASS)]
+        return reduce(DataFrame.unionByName, passes)
+
+    def _scores(self, texts: Sequence[str], first: int) -> DataFrame:
         spark = self.vocab.sparkSession
         asked = similarity.query_vectors(spark, texts, self.vocab, self.idf, self.cosine, self.size)
-        return similarity.similarity_scores(self.vectors, asked, len(texts), self.cosine, self.size)
+        scored = similarity.similarity_scores(self.vectors, asked, len(texts), self.cosine, self.size)
+        return scored.withColumn("query_id", F.col("query_id") + first)
 
     def predict(self, texts: Sequence[str], k: int = 10) -> DataFrame:
-        """``query_id, category, votes`` for a batch of texts, in one pass over the vectors."""
+        """``query_id, category, votes`` for a batch of texts."""
         return similarity.knn_predict(self.links, self.scores(texts), k)
