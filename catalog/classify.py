@@ -70,14 +70,16 @@ def logreg_step(spark, sf_dir):
     """Cost (term -1) and gradient of the logistic loss, without penalty, at the sample weights."""
     words, size = _words(spark, sf_dir)
     rows = classify.training_rows(_tfidf(spark, sf_dir, words), _label())
-    return _dense(words, classify.loss_pass(rows, _sample_weights(size), classify.logistic_objective().loss))
+    shared = classify.share_weights(spark, _sample_weights(size))
+    return _dense(words, classify.loss_pass(rows, shared, classify.logistic_objective().loss))
 
 
 def hinge_step(spark, sf_dir):
     """Cost and gradient of the hinge loss at the sample weights."""
     words, size = _words(spark, sf_dir)
     rows = classify.training_rows(_tf(spark, sf_dir, words), _side(), "tf")
-    return _dense(words, classify.loss_pass(rows, _sample_weights(size), classify.hinge_objective(1).loss))
+    shared = classify.share_weights(spark, _sample_weights(size))
+    return _dense(words, classify.loss_pass(rows, shared, classify.hinge_objective(1).loss))
 
 
 def _class_sizes(rows):
@@ -88,27 +90,28 @@ def _class_sizes(rows):
 def weighted_hinge_step(spark, sf_dir):
     """Cost and gradient of the class-weighted hinge loss at its start weights."""
     words, size = _words(spark, sf_dir)
-    rows = classify.training_rows(_tf(spark, sf_dir, words), _side(), "tf")
+    rows = classify.lay_out(classify.training_rows(_tf(spark, sf_dir, words), _side(), "tf"))
     objective = classify.weighted_hinge_objective(*_class_sizes(rows))
-    return _dense(words, classify.loss_pass(rows, np.full(size, objective.start), objective.loss))
+    shared = classify.share_weights(spark, np.full(size, objective.start))
+    return _dense(words, classify.loss_pass(rows, shared, objective.loss))
 
 
 def logreg_train(spark, sf_dir):
     words, size = _words(spark, sf_dir)
-    rows = classify.training_rows(_tfidf(spark, sf_dir, words), _label())
+    rows = classify.lay_out(classify.training_rows(_tfidf(spark, sf_dir, words), _label()))
     return classify.train(rows, size, classify.logistic_objective(), ITERATIONS).weights_table(spark)
 
 
 def svm_train(spark, sf_dir):
     words, size = _words(spark, sf_dir)
-    rows = classify.training_rows(_tf(spark, sf_dir, words), _side(), "tf")
+    rows = classify.lay_out(classify.training_rows(_tf(spark, sf_dir, words), _side(), "tf"))
     lines = vocab.corpus_count(labelled_documents(spark, sf_dir)).first()["n"]
     return classify.train(rows, size, classify.hinge_objective(lines), ITERATIONS).weights_table(spark)
 
 
 def weighted_svm_train(spark, sf_dir):
     words, size = _words(spark, sf_dir)
-    rows = materialize(classify.training_rows(_tf(spark, sf_dir, words), _side(), "tf"))
+    rows = classify.lay_out(classify.training_rows(_tf(spark, sf_dir, words), _side(), "tf"))
     objective = classify.weighted_hinge_objective(*_class_sizes(rows))
     return classify.train(rows, size, objective, ITERATIONS).weights_table(spark)
 
@@ -116,7 +119,7 @@ def weighted_svm_train(spark, sf_dir):
 def logreg_lbfgs(spark, sf_dir):
     """Classes that the L-BFGS model, trained on all documents, gives them."""
     words, size = _words(spark, sf_dir)
-    rows = materialize(classify.training_rows(_tf(spark, sf_dir, words), _label(), "tf"))
+    rows = classify.lay_out(classify.training_rows(_tf(spark, sf_dir, words), _label(), "tf"))
     points = classify.vector_rows(rows, size)
     return classify.lbfgs_predict(classify.train_lbfgs(points), points)
 

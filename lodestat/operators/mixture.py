@@ -9,13 +9,14 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 from lodestat.layout import bounded_broadcast
 from lodestat.operators.vocab import VOCABULARY_SIZE
-from lodestat.session import materialize
+from lodestat.session import store
 
 CLUSTERS = 20
 ALPHA = 0.1
@@ -130,7 +131,11 @@ def draw_parameters(
     return MixtureParameters(log_pi, log_mu)
 
 
-def _drawer(shared):
+def share_parameters(spark: SparkSession, params: MixtureParameters) -> Broadcast:
+    return spark.sparkContext.broadcast((params.log_pi, params.log_mu))
+
+
+def _drawer(shared: Broadcast):
     """Task-side draw: clusters of a batch of rows ``idx, cnt, u`` under the shared parameters."""
 
     def draw(batch):
@@ -155,13 +160,12 @@ def _with_uniform(rows: DataFrame, seed: int, sweep: int, *columns: str) -> Data
     return rows.select(*columns, "idx", "cnt", uniform(seed, sweep, F.col("doc_id")).alias("u"))
 
 
-def sweep_counts(rows: DataFrame, params: MixtureParameters, seed: int, sweep: int) -> DataFrame:
+def sweep_counts(rows: DataFrame, shared: Broadcast, seed: int, sweep: int) -> DataFrame:
     """Draw a cluster for every document and return ``cluster, term_id, cnt``.
 
     Documents per cluster come under ``DOCS_ROW``. Tasks add up their own documents, so only
     counts are shuffled.
     """
-    shared = rows.sparkSession.sparkContext.broadcast((params.log_pi, params.log_mu))
     draw, docs_row = _drawer(shared), DOCS_ROW
 
     def add_up(batches):
@@ -188,9 +192,8 @@ def sweep_counts(rows: DataFrame, params: MixtureParameters, seed: int, sweep: i
     return parts.groupBy("cluster", "term_id").agg(F.sum("cnt").alias("cnt"))
 
 
-def assign(rows: DataFrame, params: MixtureParameters, seed: int, sweep: int) -> DataFrame:
+def assign(rows: DataFrame, shared: Broadcast, seed: int, sweep: int) -> DataFrame:
     """``doc_id, cluster``: the same draws that :func:`sweep_counts` counts."""
-    shared = rows.sparkSession.sparkContext.broadcast((params.log_pi, params.log_mu))
     draw = _drawer(shared)
     id_type = rows.schema["doc_id"].dataType.simpleString()
 
@@ -238,19 +241,22 @@ def mixture_gibbs(
     """
     if sweeps < 1:
         raise ValueError("at least one sweep is needed")
-    rows = materialize(rows)
+    rows = store(rows, "documents")
     cached = rows.persist(StorageLevel.MEMORY_AND_DISK)
     params = draw_parameters(np.zeros(k), np.zeros((k, size)), seed, -1, alpha, beta)
-    before = params
+    shared = None
     try:
         for sweep in range(sweeps):
-            table = sweep_counts(cached, params, seed, sweep).toArrow()
+            if shared is not None:
+                shared.destroy()
+            shared = share_parameters(rows.sparkSession, params)
+            table = sweep_counts(cached, shared, seed, sweep).toArrow()
             cluster, term, cnt = (table[c].to_numpy() for c in ("cluster", "term_id", "cnt"))
             docs, terms = np.zeros(k), np.zeros((k, size))
             inside = term != DOCS_ROW
             docs[cluster[~inside]] = cnt[~inside]
             terms[cluster[inside], term[inside]] = cnt[inside]
-            before, params = params, draw_parameters(docs, terms, seed, sweep, alpha, beta)
+            params = draw_parameters(docs, terms, seed, sweep, alpha, beta)
     finally:
         cached.unpersist()
-    return Mixture(assign(rows, before, seed, sweeps - 1), params)
+    return Mixture(assign(rows, shared, seed, sweeps - 1), params)

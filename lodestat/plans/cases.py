@@ -91,7 +91,7 @@ def logistic(
     train, test = Corpus.read(spark, train_path), Corpus.read(spark, test_path)
     words = train.vocabulary(size)
     weighted = vectors.tfidf(train.term_frequency(words, size), train.idf(words, size), size)
-    rows = classify.training_rows(weighted, label())
+    rows = classify.lay_out(classify.training_rows(weighted, label()))
     model = classify.train(rows, words.count(), classify.logistic_objective(), max_iter)
     source = {"test": test, "train": train}[idf_from]
     tested = vectors.tfidf(test.term_frequency(words, size), source.idf(words, size), size)
@@ -109,7 +109,7 @@ def lbfgs(
 
     def points(corpus: Corpus) -> DataFrame:
         rows = classify.training_rows(corpus.term_frequency(words, size), label(), "tf")
-        return classify.vector_rows(rows, width)
+        return classify.vector_rows(classify.lay_out(rows), width)
 
     model = classify.train_lbfgs(points(train), max_iter)
     return Evaluation(model, words, classify.lbfgs_predict(model, points(test)))
@@ -126,7 +126,7 @@ def svm(
     """Linear SVM on term frequencies; with ``weighted`` each class counts by the size of the other."""
     train, test = Corpus.read(spark, train_path), Corpus.read(spark, test_path)
     words = train.vocabulary(size)
-    rows = materialize(classify.training_rows(train.term_frequency(words, size), label(-1), "tf"))
+    rows = classify.lay_out(classify.training_rows(train.term_frequency(words, size), label(-1), "tf"))
     if weighted:
         sizes = {r["label"]: r["n"] for r in evaluate.class_counts(rows).collect()}
         objective = classify.weighted_hinge_objective(sizes.get(-1.0, 0), sizes.get(1.0, 0))

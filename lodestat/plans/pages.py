@@ -13,7 +13,7 @@ from lodestat.functions.text import tokens_letters
 from lodestat.layout import spread
 from lodestat.operators import similarity, vectors, vocab
 from lodestat.operators.vocab import VOCABULARY_SIZE
-from lodestat.session import materialize
+from lodestat.session import materialize, store
 from lodestat.sources.documents import parse_documents, parse_links, valid_lines
 from lodestat.sources.files import read_lines
 
@@ -26,8 +26,8 @@ TEXTS_PER_PASS = 50
 class PageIndex:
     """Vocabulary, IDF and document vectors, each computed once and kept.
 
-    The rows of a vector lie together in one partition, so a prediction adds them up in place and
-    shuffles one row per document.
+    The rows of a vector lie together in the stored files, so a prediction adds them up in place
+    and shuffles one row per document.
     """
 
     vocab: DataFrame
@@ -53,7 +53,7 @@ class PageIndex:
         n_lines = vocab.corpus_count(lines).scalar()
         idf = vectors.idf(vectors.document_frequency(counts), n_lines)
         tf = vectors.term_frequency_binary(counts) if cosine else vectors.term_frequency(counts)
-        weighted = materialize(vectors.tfidf(tf, idf, size))
+        weighted = store(vectors.tfidf(tf, idf, size), "vectors")
         # The kept vectors hold one row per document of a term, so the IDF is had without the texts.
         kept_idf = materialize(vectors.idf(weighted.groupBy("term_id").agg(F.count("*").alias("df")), n_lines))
         return cls(words, kept_idf, weighted, parse_links(read_lines(spark, links_path)), cosine, size)

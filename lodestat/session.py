@@ -45,9 +45,19 @@ def fresh_path(spark: SparkSession, label: str) -> str:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Compute once into reliable storage: later uses read it back, also after executors are lost."""
+    """Compute a small table once into reliable storage, cutting its lineage.
+
+    Later uses read it back, also after executors are lost.
+    """
     spark = df.sparkSession
     folder = shared_folder(spark)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(folder)
     return df.checkpoint()
+
+
+def store(df: DataFrame, label: str = "table") -> DataFrame:
+    """As :func:`materialize` for tables that grow with the data: columnar, compressed, read by column."""
+    path = fresh_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
