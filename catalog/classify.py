@@ -44,13 +44,13 @@ def _words(spark, sf_dir):
     return words, words.count()
 
 
-def _dense(words, totals):
+def _dense(words, totals, places=7):
     """Totals of all positions, 0 where no document adds anything, and the cost."""
     terms = words.select("term_id").unionByName(
         words.sparkSession.range(1).select(F.lit(classify.COST_ROW).alias("term_id"))
     )
     full = terms.join(totals, "term_id", "left").select("term_id", F.coalesce("total", F.lit(0.0)).alias("total"))
-    return rounded(full, 7, "total")
+    return rounded(full, places, "total")
 
 
 def _sample_weights(size):
@@ -93,7 +93,7 @@ def weighted_hinge_step(spark, sf_dir):
     rows = classify.lay_out(classify.training_rows(_tf(spark, sf_dir, words), _side(), "tf"))
     objective = classify.weighted_hinge_objective(*_class_sizes(rows))
     shared = classify.share_weights(spark, np.full(size, objective.start))
-    return _dense(words, classify.loss_pass(rows, shared, objective.loss))
+    return _dense(words, classify.loss_pass(rows, shared, objective.loss), 3)
 
 
 def logreg_train(spark, sf_dir):
@@ -186,13 +186,13 @@ sizes AS (SELECT count(*) FILTER (y < 0) AS nr, count(*) FILTER (y > 0) AS pr FR
 """
 
 
-def _step_sql(values: str, weights: str, loss: str) -> str:
+def _step_sql(values: str, weights: str, loss: str, places: int = 7) -> str:
     return f"""WITH {MODEL_SQL},
 margins AS (SELECT doc_id, sum(x * weight) AS theta FROM {values} JOIN {weights} USING (term_id) GROUP BY doc_id),
 losses AS (SELECT doc_id, {loss} FROM margins JOIN sides USING (doc_id), sizes),
 gradient AS (SELECT term_id, sum(x * slope) AS total FROM {values} JOIN losses USING (doc_id) GROUP BY term_id)
-SELECT term_id, round(coalesce(total, 0), 7) + 0.0 AS total FROM vocab LEFT JOIN gradient USING (term_id)
-UNION ALL SELECT -1, round(sum(cost), 7) FROM losses"""
+SELECT term_id, round(coalesce(total, 0), {places}) + 0.0 AS total FROM vocab LEFT JOIN gradient USING (term_id)
+UNION ALL SELECT -1, round(sum(cost), {places}) FROM losses"""
 
 
 SCORED_SQL = f"""{MODEL_SQL},
@@ -222,6 +222,7 @@ ORACLES = {
         "(SELECT term_id, 0.1::DOUBLE AS weight FROM vocab)",
         """greatest(0, nr * (1 + y) * (1 - y * theta) / 2 + pr * (1 - y) * (1 - y * theta) / 2) AS cost,
         CASE WHEN y * theta > 1 THEN 0 ELSE (pr * (1 - y) - nr * (1 + y)) / 2 END AS slope""",
+        3,
     ),
     "logreg_score": f"WITH {SCORED_SQL} SELECT doc_id, round(score, 8) + 0.0 AS score, predicted, label FROM scored",
     "svm_score": f"""WITH {MODEL_SQL},

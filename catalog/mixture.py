@@ -8,7 +8,7 @@ from catalog.text import post_dictionary, posts
 from catalog.vectors import POST_TERMS_SQL, post_terms, rounded
 from lodestat.operators import clusters, mixture
 from lodestat.operators.vocab import VOCABULARY_SIZE
-from lodestat.session import materialize
+from lodestat.session import materialize, store
 
 K = mixture.CLUSTERS
 SWEEPS = 5
@@ -52,7 +52,7 @@ def cluster_term_counts(spark, sf_dir):
 def mixture_posterior(spark, sf_dir):
     """Posterior of every post under the parameters that the fixed clusters imply."""
     words = materialize(post_dictionary(spark, sf_dir))
-    counts = post_terms(spark, sf_dir, words)
+    counts = store(post_terms(spark, sf_dir, words), "counts")
     log_mu = mixture.smoothed_mu(_term_counts(spark, sf_dir, words, counts))
     log_pi = mixture.smoothed_pi(cluster_doc_counts(spark, sf_dir))
     probs = mixture.mixture_posterior(posts(spark, sf_dir), counts, log_pi, materialize(log_mu))

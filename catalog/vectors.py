@@ -8,7 +8,7 @@ from catalog.inputs import documents, labelled_documents, links, table
 from catalog.text import LETTERS_SQL, STRIP_SQL, TRIM_SQL, VOCAB_SQL, letters_vocabulary, post_dictionary, posts
 from lodestat.functions.text import tokens_edge_trim, tokens_letters
 from lodestat.operators import similarity, vectors, vocab
-from lodestat.session import materialize
+from lodestat.session import materialize, store
 from lodestat.sources.documents import class_label
 
 QUERY_TEXTS = ("The tion of and", "der die und zzzzzz", "que la en ou: que?")
@@ -107,7 +107,8 @@ def doc_top_terms(spark, sf_dir):
 
 
 def category_features(spark, sf_dir):
-    return rounded(similarity.category_features(links(spark, sf_dir), letters_tfidf(spark, sf_dir)), 9, "value")
+    stored = store(letters_tfidf(spark, sf_dir), "vectors")
+    return rounded(similarity.category_features(links(spark, sf_dir), stored), 9, "value")
 
 
 def _scores(spark, sf_dir, cosine):

@@ -1,4 +1,4 @@
-"""Number parsing, rounding and numerically stable scalars."""
+"""Number parsing, range tests, rounding and sums."""
 
 from __future__ import annotations
 
@@ -15,10 +15,6 @@ def to_number(text: Column) -> Column:
     return F.when(text.rlike(PLAIN_NUMBER), text.try_cast("double"))
 
 
-def is_number(text: Column) -> Column:
-    return to_number(text).isNotNull()
-
-
 def within(value: Column, low: float, high: float | None = None) -> Column:
     """Range test that NaN fails (Spark orders NaN above every number)."""
     test = ~F.isnan(value) & (value >= low)
@@ -48,14 +44,3 @@ def exact_sum(value: Column) -> Column:
     fixed = value.try_cast("decimal(24,12)")
     rest = F.sum(F.when(fixed.isNull(), value))
     return F.coalesce(F.sum(fixed).cast("double"), F.lit(0.0)) + F.coalesce(rest, F.lit(0.0))
-
-
-def log1p_exp(theta: Column) -> Column:
-    """ln(1 + e^theta) without overflow."""
-    return F.greatest(theta, F.lit(0.0)) + F.log1p(F.exp(-F.abs(theta)))
-
-
-def sigmoid(theta: Column) -> Column:
-    """e^theta / (1 + e^theta) without overflow."""
-    small = F.exp(-F.abs(theta))
-    return F.when(theta >= 0, 1 / (1 + small)).otherwise(small / (1 + small))

@@ -82,21 +82,27 @@ def similarity_scores(
 
 
 def category_features(links: DataFrame, vectors: DataFrame) -> DataFrame:
-    """``category, doc_id, term_id, value``: one copy of a vector per category of its document."""
+    """``category, doc_id, term_id, value``: one copy of a vector per category of its document.
+
+    Give stored vectors: both sides of the join are then plain shuffles, of which AQE splits the
+    partition of a document with very many categories.
+    """
     return links.join(vectors, "doc_id").select("category", "doc_id", "term_id", "value")
 
 
 def nearest_rows(links: DataFrame, scores: DataFrame, k: int) -> DataFrame:
-    """The k best (category, score) rows per query.
+    """The k best (category, score) rows per query; equal scores by document, then category.
 
-    Scores, not vectors, meet the categories. Only k rows per query leave a task, since the rank
-    limit is applied before the shuffle.
+    Scores, not vectors, meet the categories. Rows of one document are equally near, so no more
+    than its first k categories can count: the rest of a document with very many is left behind
+    before the join. Both rank limits work within tasks before they shuffle.
     """
-    rows = links.join(scores, "doc_id")
+    per_doc = F.row_number().over(Window.partitionBy("doc_id").orderBy("category"))
+    first = links.withColumn("_nth", per_doc).filter(F.col("_nth") <= k).drop("_nth")
     rank = F.row_number().over(
         Window.partitionBy("query_id").orderBy(F.col("score").desc_nulls_last(), F.asc("doc_id"), F.asc("category"))
     )
-    return rows.withColumn("rank", rank).filter(F.col("rank") <= k)
+    return first.join(scores, "doc_id").withColumn("rank", rank).filter(F.col("rank") <= k)
 
 
 def knn_predict(links: DataFrame, scores: DataFrame, k: int = 10) -> DataFrame:

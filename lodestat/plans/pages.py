@@ -58,6 +58,10 @@ class PageIndex:
         kept_idf = materialize(vectors.idf(weighted.groupBy("term_id").agg(F.count("*").alias("df")), n_lines))
         return cls(words, kept_idf, weighted, parse_links(read_lines(spark, links_path)), cosine, size)
 
+    def features(self) -> DataFrame:
+        """``category, doc_id, term_id, value``: the vectors by category."""
+        return similarity.category_features(self.links, self.vectors)
+
     def scores(self, texts: Sequence[str]) -> DataFrame:
         """``query_id, doc_id, score`` of every page."""
         if not texts:

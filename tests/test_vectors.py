@@ -144,6 +144,17 @@ def test_page_index_against_dense_arithmetic(spark, text_file, cosine, monkeypat
         for category, votes in Counter(c for _, _, c in sorted(rows)[:k]).items():
             want[q, category] = votes
     assert as_dict(index.predict(queries, k)) == want
+    assert index.features().count() == 2 * index.vectors.count()
+
+
+def test_nearest_rows_with_one_hot_document(spark):
+    many = [("a", f"c{i:03d}") for i in range(200)] + [("a", "c000")] * 3 + [("b", "x"), ("c", "y")]
+    links = spark.createDataFrame(many, "doc_id string, category string")
+    scores = spark.createDataFrame([(0, "a", 0.5), (0, "b", 0.9), (0, "c", 0.1), (1, "c", 1.0)], "query_id int, doc_id string, score double")
+    got = similarity.nearest_rows(links, scores, 7).orderBy("query_id", "rank")
+    assert [(r["query_id"], r["category"]) for r in got.collect()] == [
+        (0, c) for c in ["x", "c000", "c000", "c000", "c000", "c001", "c002"]
+    ] + [(1, "y")]
 
 
 def test_vector_without_length_has_no_cosine(spark):
