@@ -15,8 +15,8 @@ from lodestat.functions.text import tokens_letters
 from lodestat.layout import spread
 from lodestat.operators import classify, evaluate, vectors, vocab
 from lodestat.operators.vocab import VOCABULARY_SIZE
-from lodestat.session import materialize
-from lodestat.sources.documents import class_label, parse_documents
+from lodestat.session import materialize, store
+from lodestat.sources.documents import class_label, parse_lines
 from lodestat.sources.files import read_lines
 
 
@@ -26,16 +26,22 @@ def label(negative: int = 0) -> Column:
 
 @dataclass
 class Corpus:
-    """Words of a file of documents; ``n_lines`` counts all its lines."""
+    """Words of a file of documents, and its lines, valid or not.
+
+    The file is read and unpacked once, into Parquet; all passes over the words read that.
+    """
 
     tokens: DataFrame
-    n_lines: Column
     lines: DataFrame
 
     @classmethod
     def read(cls, spark: SparkSession, path: str) -> Corpus:
-        lines = read_lines(spark, path)
-        return cls(tokens_letters(parse_documents(spread(lines))), vocab.corpus_count(lines).scalar(), lines)
+        stored = store(parse_lines(read_lines(spark, path)), "documents")
+        return cls(tokens_letters(spread(stored)), stored)
+
+    @property
+    def n_lines(self) -> Column:
+        return vocab.corpus_count(self.lines).scalar()
 
     def vocabulary(self, size: int = VOCABULARY_SIZE) -> DataFrame:
         return materialize(vocab.vocabulary(vocab.word_count(self.tokens), size))

@@ -14,7 +14,7 @@ from lodestat.layout import spread
 from lodestat.operators import similarity, vectors, vocab
 from lodestat.operators.vocab import VOCABULARY_SIZE
 from lodestat.session import materialize, store
-from lodestat.sources.documents import parse_documents, parse_links, valid_lines
+from lodestat.sources.documents import parse_lines, parse_links
 from lodestat.sources.files import read_lines
 
 
@@ -26,6 +26,8 @@ TEXTS_PER_PASS = 50
 class PageIndex:
     """Vocabulary, IDF and document vectors, each computed once and kept.
 
+    The text files are read and unpacked once, into Parquet; the two passes over the words read that.
+
     The rows of a vector lie together in the stored files, so a prediction adds them up in place
     and shuffles one row per document.
     """
@@ -46,17 +48,18 @@ class PageIndex:
         cosine: bool = False,
         size: int = VOCABULARY_SIZE,
     ) -> PageIndex:
-        lines = read_lines(spark, pages_path)
-        tokens = tokens_letters(parse_documents(valid_lines(spread(lines))))
+        stored = store(parse_lines(read_lines(spark, pages_path)), "pages")
+        n_lines = vocab.corpus_count(stored).scalar()
+        tokens = tokens_letters(spread(stored))
         words = materialize(vocab.vocabulary(vocab.word_count(tokens), size))
         counts = vectors.doc_term_counts(tokens, words, size)
-        n_lines = vocab.corpus_count(lines).scalar()
         idf = vectors.idf(vectors.document_frequency(counts), n_lines)
         tf = vectors.term_frequency_binary(counts) if cosine else vectors.term_frequency(counts)
         weighted = store(vectors.tfidf(tf, idf, size), "vectors")
         # The kept vectors hold one row per document of a term, so the IDF is had without the texts.
         kept_idf = materialize(vectors.idf(weighted.groupBy("term_id").agg(F.count("*").alias("df")), n_lines))
-        return cls(words, kept_idf, weighted, parse_links(read_lines(spark, links_path)), cosine, size)
+        links = store(parse_links(read_lines(spark, links_path)), "links")
+        return cls(words, kept_idf, weighted, links, cosine, size)
 
     def features(self) -> DataFrame:
         """``category, doc_id, term_id, value``: the vectors by category."""

@@ -11,7 +11,7 @@ from lodestat.functions.text import tokens_edge_trim, tokens_strip
 from lodestat.layout import spread
 from lodestat.operators import clusters, mixture, vectors, vocab
 from lodestat.operators.vocab import VOCABULARY_SIZE
-from lodestat.session import materialize
+from lodestat.session import materialize, store
 from lodestat.sources.documents import parse_posts
 from lodestat.sources.files import read_lines
 
@@ -21,7 +21,7 @@ class PostCorpus:
     """Posts with the dictionary of their words and the counts of dictionary words per post.
 
     Dictionary and counts use different tokenisers on purpose: ``don't`` enters the dictionary as
-    ``dont`` and is never counted.
+    ``dont`` and is never counted. The file is read and unpacked once, into Parquet.
     """
 
     posts: DataFrame
@@ -31,7 +31,8 @@ class PostCorpus:
 
     @classmethod
     def read(cls, spark: SparkSession, path: str, size: int = VOCABULARY_SIZE) -> PostCorpus:
-        posts = parse_posts(spread(read_lines(spark, path)))
+        parsed = parse_posts(read_lines(spark, path)).select("doc_id", "category", "body")
+        posts = spread(store(parsed, "posts"))
         words = materialize(vocab.vocabulary(vocab.word_count(tokens_strip(posts)), size))
         return cls(posts, words, vectors.doc_term_counts(tokens_edge_trim(posts), words, size), size)
 

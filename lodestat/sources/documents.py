@@ -36,14 +36,29 @@ def document_text(line: Column) -> Column:
     return F.when(mark > 0, _span(line, start, F.length(line) - len(END_TAG) - start + 1))
 
 
+def _marked(line: Column) -> Column:
+    return line.contains(ID_MARK) & line.contains(URL_MARK) & line.contains(TEXT_MARK)
+
+
 def parse_documents(lines: DataFrame, value: str = "value") -> DataFrame:
     """``doc_id, text``; lines without the marks are left out.
 
     The filter looks for the marks, so that no text is cut out just to see whether it is there.
     """
     line = F.col(value)
-    marked = lines.filter(line.contains(ID_MARK) & line.contains(URL_MARK) & line.contains(TEXT_MARK))
-    return marked.select(document_id(line).alias("doc_id"), document_text(line).alias("text"))
+    return lines.filter(_marked(line)).select(document_id(line).alias("doc_id"), document_text(line).alias("text"))
+
+
+def parse_lines(lines: DataFrame, value: str = "value") -> DataFrame:
+    """``doc_id, text`` of every line, both NULL where :func:`parse_documents` leaves it out.
+
+    Stored once, this serves the passes over the texts and the count of all lines.
+    """
+    line = F.col(value)
+    return lines.select(
+        F.when(_marked(line), document_id(line)).alias("doc_id"),
+        F.when(_marked(line), document_text(line)).alias("text"),
+    )
 
 
 def parse_links(lines: DataFrame, value: str = "value") -> DataFrame:

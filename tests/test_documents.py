@@ -20,6 +20,11 @@ def test_parse_documents(lines):
     assert {tuple(r) for r in rows.collect()} == {("12", 'A | b > "c"'), ("15", "x"), ("16", "")}
 
 
+def test_parse_lines_keeps_every_line(lines):
+    text = lines('<doc id="1" url="u">abc</doc>', "junk", '<doc id="2" url="u" no text', "")
+    assert [tuple(r) for r in documents.parse_lines(text).collect()] == [("1", "abc"), (None, None), (None, None), (None, None)]
+
+
 def test_parse_links(lines):
     rows = documents.parse_links(lines('"1","Sport"', '"2","a,b"', "3,plain", '"4"')).collect()
     assert {tuple(r) for r in rows} == {("1", "Sport"), ("2", "a"), ("3", "plain")}
