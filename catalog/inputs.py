@@ -50,7 +50,8 @@ def trip_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_linenumber").cast("string"),
         F.when(key % 83 == 0, "0.00").otherwise(_digits(F.col("l_extendedprice"), 2)),
     ]
-    return table(spark, sf_dir, "lineitem").select(F.concat_ws(",", *fields).alias("value"))
+    items = table(spark, sf_dir, "lineitem").drop("l_linestatus")
+    return spread(items).select(F.concat_ws(",", *fields).alias("value"))
 
 
 TRIP_LINES_SQL = """

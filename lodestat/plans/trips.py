@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestat.functions.clock import hour_of_text
+from lodestat.layout import spread
 from lodestat.operators import linear, ranking
 from lodestat.sources.files import read_lines, write_pairs
 from lodestat.sources.trips import clean_basic, parse_trips, regression_rows
@@ -14,7 +15,7 @@ FEATURES = ("minutes", "miles", "fare", "surcharge")
 
 
 def cleaned_trips(spark: SparkSession, path: str) -> DataFrame:
-    return clean_basic(parse_trips(read_lines(spark, path)))
+    return clean_basic(parse_trips(spread(read_lines(spark, path))))
 
 
 def busiest_taxis(spark: SparkSession, path: str, k: int = 10) -> DataFrame:
@@ -58,4 +59,4 @@ def total_descent(spark: SparkSession, path: str, **settings: float) -> linear.D
 
 
 def _regression_trips(spark: SparkSession, path: str) -> DataFrame:
-    return regression_rows(parse_trips(read_lines(spark, path)))
+    return regression_rows(parse_trips(spread(read_lines(spark, path))))

@@ -40,16 +40,16 @@ def test_csv_links_keep_quoted_commas(spark, tmp_path):
 def test_parse_posts(lines):
     rows = documents.parse_posts(
         lines(
-            '<doc id="news/comp.graphics/37261" url="">hello </doc> tail',
+            '<doc id="news/sci.space/101" url="">hello </doc> tail',
             '<doc id="flat">x</doc>',
             '<doc id="news/a/1">open end',
             "no tag at all",
         )
     ).collect()
-    assert [r["doc_id"] for r in rows] == ["news/comp.graphics/37261", "flat", "news/a/1", ""]
-    assert [r["category"] for r in rows] == ["comp.graphics", None, "a", None]
+    assert [r["doc_id"] for r in rows] == ["news/sci.space/101", "flat", "news/a/1", ""]
+    assert [r["category"] for r in rows] == ["sci.space", None, "a", None]
     assert [r["body"] for r in rows] == [">hello ", ">x", ">open en", ""]
-    assert rows[0]["header"] == '<doc id="news/comp.graphics/37261" url="">' and rows[3]["header"] == ""
+    assert rows[0]["header"] == '<doc id="news/sci.space/101" url="">' and rows[3]["header"] == ""
 
 
 def test_labels(spark):

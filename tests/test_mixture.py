@@ -127,13 +127,13 @@ def test_planted_clusters_are_found(spark, text_file):
 def test_post_corpus(spark, text_file):
     path = text_file(
         "posts.txt",
-        '<doc id="n/a/37261" url="u"> Image image, files! don\'t dont the </doc>',
+        '<doc id="n/a/101" url="u"> Image image, files! don\'t dont the </doc>',
         '<doc id="n/b/2" url="u"> files </doc>',
     )
     corpus = PostCorpus.read(spark, path)
     words = {r["word"]: r["term_id"] for r in corpus.vocab.collect()}
     assert set(words) == {"image", "files", "dont"}
-    top = {r["word"]: r["cnt"] for r in corpus.top_terms("a/37261").collect()}
+    top = {r["word"]: r["cnt"] for r in corpus.top_terms("a/101").collect()}
     assert top == {"image": 2, "files": 1, "dont": 1}
     maps = {r["doc_id"]: (r["counts"], r["total"]) for r in corpus.term_maps().collect()}
     assert maps["n/b/2"] == ({words["files"]: 1}, 1)

@@ -1,3 +1,4 @@
+import random
 import re
 import string
 
@@ -45,6 +46,27 @@ def test_edge_trim(spark, sample):
     assert words(text.tokens_edge_trim(docs(spark, sample))) == expected
 
 
+def test_tokenisers_on_random_texts(spark):
+    rng = random.Random(11)
+    alphabet = list("abcXYZ ,.-'()\\_\t\n\r") + list("\x1c\x85\xa0\u2003\u3000éßİK") + ["the", " of "]
+    samples = ["".join(rng.choices(alphabet, k=rng.randint(0, 60))) for _ in range(400)]
+    table = spark.createDataFrame([(i, s, s) for i, s in enumerate(samples)], "doc_id int, text string, body string")
+    plain = {
+        text.tokens_letters: lambda s: re.sub("[^a-zA-Z]", " ", s).lower().split(),
+        text.tokens_strip: lambda s: [
+            w for w in (re.sub("[^a-zA-Z]", "", t).lower() for t in s.split()) if len(w) > 2 and w not in text.STOP_WORDS
+        ],
+        text.tokens_edge_trim: lambda s: [
+            w for w in (t.lower().strip(string.punctuation) for t in s.split(" ")) if len(w) > 2
+        ],
+    }
+    for tokeniser, words_of in plain.items():
+        found = {}
+        for row in tokeniser(table).collect():
+            found.setdefault(row["doc_id"], []).append(row["word"])
+        assert found == {i: words_of(s) for i, s in enumerate(samples) if words_of(s)}
+
+
 def test_long_punctuation_runs_take_one_pass(spark):
     sample = "a" + "-" * 200_000 + "b " + "." * 200_000 + " end" + "!" * 200_000
     assert words(text.tokens_edge_trim(docs(spark, sample)))[-1] == "end"
