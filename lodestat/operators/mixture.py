@@ -59,22 +59,22 @@ def mixture_posterior(
     """
 
     def by_cluster(value: str) -> Column:
-        return F.transform(F.sort_array(F.collect_list(F.struct("cluster", value))), lambda e: e[value])
+        return F.sort_array(F.collect_list(F.struct("cluster", value))).getField(value)
 
     per_term = log_mu.groupBy("term_id").agg(by_cluster("log_mu").alias("_lm"))
     prior = log_pi.agg(by_cluster("log_pi")).scalar()
     joined = counts.join(bounded_broadcast(per_term, size, 16 + 8 * k), "term_id")
+    names = [f"_l{j}" for j in range(k)]
     sums = joined.groupBy("doc_id").agg(
-        *[F.sum(F.col("cnt") * F.get("_lm", F.lit(j))).alias(f"_l{j}") for j in range(k)]
+        *[F.sum(F.col("cnt") * F.get("_lm", F.lit(j))).alias(name) for j, name in enumerate(names)]
     )
-    loglik = F.array(*[F.coalesce(f"_l{j}", F.lit(0.0)) for j in range(k)])
-    rows = docs.select("doc_id").distinct().join(sums, "doc_id", "left").select("doc_id", loglik.alias("_l"), prior.alias("_p"))
-    rows = rows.select("doc_id", F.zip_with("_l", "_p", lambda a, b: a + b).alias("_s"))
-    rows = rows.select("doc_id", "_s", F.array_max("_s").alias("_top"))
-    rows = rows.select("doc_id", F.transform("_s", lambda s: F.exp(s - F.col("_top"))).alias("_e"))
-    rows = rows.withColumn("_total", F.aggregate("_e", F.lit(0.0), lambda a, b: a + b))
-    long = rows.select("doc_id", "_total", F.posexplode("_e").alias("cluster", "_e1"))
-    return long.select("doc_id", "cluster", (F.col("_e1") / F.col("_total")).alias("prob"))
+    rows = docs.select("doc_id").distinct().join(sums, "doc_id", "left").withColumn("_prior", prior)
+    logs = [(F.coalesce(name, F.lit(0.0)) + F.get("_prior", F.lit(j))).alias(name) for j, name in enumerate(names)]
+    rows = rows.select("doc_id", *logs).withColumn("_top", F.greatest(*names) if k > 1 else F.col(names[0]))
+    rows = rows.select("doc_id", *[F.exp(F.col(name) - F.col("_top")).alias(name) for name in names])
+    rows = rows.withColumn("_total", sum((F.col(name) for name in names), F.lit(0.0)))
+    shares = F.array(*[F.col(name) / F.col("_total") for name in names])
+    return rows.select("doc_id", F.posexplode(shares).alias("cluster", "prob"))
 
 
 def mixture_top_words(log_mu: DataFrame, vocab: DataFrame, n: int = 50, size: int = VOCABULARY_SIZE) -> DataFrame:
