@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from lodestat.llm import exact_dedup
+from lodestat.llm import exact_dedup, prefix_bpe
 
 QUERIES = {
+    "op4_prefix_bpe": prefix_bpe.op4_prefix_bpe,
     "op8_exact_dedup": exact_dedup.op8_exact_dedup,
 }
 
