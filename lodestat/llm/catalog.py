@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from lodestat.llm import exact_dedup, prefix_bpe
+from lodestat.llm import count_transducer, exact_dedup, prefix_bpe
 
 QUERIES = {
+    "op3_count_transducer": count_transducer.op3_count_transducer,
     "op4_prefix_bpe": prefix_bpe.op4_prefix_bpe,
     "op8_exact_dedup": exact_dedup.op8_exact_dedup,
 }

@@ -32,7 +32,7 @@ class Remembered(dict):
 
     def cover(self, wanted: set[str]) -> None:
         """Have a result for each of ``wanted``; ``work`` gets the missing ones in order, and yields one for each."""
-        missing = wanted - self.keys()
+        missing = [piece for piece in wanted if piece not in self]
         if len(self) + len(missing) > self.room:
             self.clear()
             missing = wanted
