@@ -144,18 +144,18 @@ def _joined(spans):
     return F.concat_ws(",", text)
 
 
+def _count(field: str, value: str):
+    """How many of the spans have this value."""
+    n = F.size(F.filter("found", lambda span: span[field] == value))
+    return F.coalesce(n, F.lit(0)).cast("long").alias(f"n_{value}")
+
+
 def op2_ownership_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its spans and what their owners say of them."""
     found = secret_spans(table(spark, sf_dir, "documents"))
-    counts = [
-        F.coalesce(F.size(F.filter("found", lambda s, k=k: s["kind"] == k)), F.lit(0)).cast("long").alias(f"n_{k}") for k in KINDS
-    ]
-    verdicts = [
-        F.coalesce(F.size(F.filter("found", lambda s, v=v: s["verdict"] == v)), F.lit(0)).cast("long").alias(f"n_{v}")
-        for v in ("live", "shared", "example")
-    ]
+    counts = [_count("kind", kind) for kind in KINDS] + [_count("verdict", v) for v in ("live", "shared", "example")]
     base = F.filter("found", lambda s: s["kind"] != "owned")
     return found.select(
-        "doc_id", *counts, F.sha2(F.coalesce(_joined(base), F.lit("")), 256).alias("base_sha256"),
-        F.coalesce(_joined(F.col("found")), F.lit("")).alias("spans"), *verdicts,
+        "doc_id", *counts[:3], F.sha2(F.coalesce(_joined(base), F.lit("")), 256).alias("base_sha256"),
+        F.coalesce(_joined(F.col("found")), F.lit("")).alias("spans"), *counts[3:],
     )
