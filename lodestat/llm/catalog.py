@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from lodestat.llm import count_transducer, decontaminate, exact_dedup, prefix_bpe, secret_scan, url_filters
+from lodestat.llm import count_transducer, decontaminate, exact_dedup, jaccard_join, prefix_bpe, secret_scan, url_filters
 
 QUERIES = {
     "op2_ownership_secrets": secret_scan.op2_ownership_secrets,
     "op3_count_transducer": count_transducer.op3_count_transducer,
     "op4_prefix_bpe": prefix_bpe.op4_prefix_bpe,
+    "op6_size_aware_jaccard": jaccard_join.op6_size_aware_jaccard,
     "op7_url_filters": url_filters.op7_url_filters,
     "op8_exact_dedup": exact_dedup.op8_exact_dedup,
     "op9_winnowing": decontaminate.op9_winnowing,
