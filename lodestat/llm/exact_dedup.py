@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from lodestat.llm.rows import ASCII_SPACE, table, text_bytes, unused
 from lodestat.session import store
 
-FIRST_DIGIT = 32
+FIRST_DIGIT = 256
 GROWTH = 8
 
 
@@ -31,7 +31,7 @@ def _normalise(batches):
         shas = [hashlib.sha256(n).hexdigest() for n in norms]
         columns = [c for c in batch.schema.names if c != "norm"]
         yield pa.RecordBatch.from_arrays(
-            [*(batch.column(c) for c in columns), pa.array(shas), pa.array(norms, pa.binary())],
+            [*(batch.column(c) for c in columns), pa.array(shas, pa.string()), pa.array(norms, pa.binary())],
             names=[*columns, "text_sha256", "norm"],
         )
 
@@ -50,29 +50,44 @@ def normalised(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def equal_groups(texts: DataFrame, text_col: str = "norm") -> DataFrame:
-    """``uid, gid`` of every row whose bytes another row shares; ``gid`` is the group's smallest ``uid``."""
-    active, ended, start, width = None, [], 0, FIRST_DIGIT
+    """``uid, gid`` of every row whose bytes another row shares; ``gid`` is the group's smallest ``uid``.
+
+    The first digit of all rows is shuffled without the texts. Rows alone after it, most of them, are done; the others
+    get their text once and carry what is left of it.
+    """
     key = ["gid", "digit", "ended"]
-    while active is None or not active.isEmpty():
-        digits = texts.select(
-            "uid",
-            F.substring(text_col, start + 1, width).alias("digit"),
-            (F.octet_length(text_col) <= start + width).alias("ended"),
-        )
-        rows = digits.withColumn("gid", F.lit(0).cast("long")) if active is None else digits.join(active, "uid")
+    rows = texts.select(
+        "uid", F.lit(0).cast("long").alias("gid"),
+        F.substring(text_col, 1, FIRST_DIGIT).alias("digit"), (F.octet_length(text_col) <= FIRST_DIGIT).alias("ended"),
+    )
+    width, found = FIRST_DIGIT, []
+    while True:
         # Kept apart from the join, so that Spark can split a group that holds many rows.
         shared = store(
             rows.groupBy(key).agg(F.min("uid").alias("head"), F.count("*").alias("n")).filter("n > 1").drop("n"),
             "radix-groups",
         )
-        split = store(rows.join(shared, key).select("uid", F.col("head").alias("gid"), "ended"), "radix-members")
-        ended.append(split.filter("ended").drop("ended"))
+        split = rows.join(shared, key).drop("gid", "digit").withColumnRenamed("head", "gid")
+        split = store(split, "radix-members")
+        found.append(split.filter("ended").select("uid", "gid"))
         active = split.filter("not ended").drop("ended")
-        start, width = start + width, width * GROWTH
-    found = ended[0]
-    for more in ended[1:]:
-        found = found.unionByName(more)
-    return found
+        if active.isEmpty():
+            break
+        if len(found) == 1:  # those to go on with grow with the corpus: not for a broadcast
+            rest = F.col(text_col)
+            active = active.hint("merge").join(texts.select("uid", rest.alias("rest")), "uid")
+            active = active.withColumn("rest", F.substring("rest", FIRST_DIGIT + 1, 2**31 - 1))
+        width *= GROWTH
+        rows = active.select(
+            "uid", "gid", F.substring("rest", 1, width).alias("digit"),
+            (F.octet_length("rest") <= width).alias("ended"),
+            F.substring("rest", width + 1, 2**31 - 1).alias("rest"),
+        )
+        rows = store(rows, "radix-digits")
+    whole = found[0]
+    for more in found[1:]:
+        whole = whole.unionByName(more)
+    return whole
 
 
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
