@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from lodestat.llm import count_transducer, decontaminate, exact_dedup, jaccard_join, prefix_bpe, secret_scan, url_filters
+from lodestat.llm import context_mixing, count_transducer, decontaminate, exact_dedup, jaccard_join, prefix_bpe, secret_scan, url_filters
 
 QUERIES = {
+    "op1_context_mixing": context_mixing.op1_context_mixing,
     "op2_ownership_secrets": secret_scan.op2_ownership_secrets,
     "op3_count_transducer": count_transducer.op3_count_transducer,
     "op4_prefix_bpe": prefix_bpe.op4_prefix_bpe,
