@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lodestat.llm import context_mixing, count_transducer, decontaminate, exact_dedup, jaccard_join, prefix_bpe, secret_scan, url_filters
+from lodestat.llm import context_mixing, count_transducer, decontaminate, exact_dedup, jaccard_join, prefix_bpe, secret_scan, toxicity, url_filters
 
 QUERIES = {
     "op1_context_mixing": context_mixing.op1_context_mixing,
@@ -13,6 +13,7 @@ QUERIES = {
     "op7_url_filters": url_filters.op7_url_filters,
     "op8_exact_dedup": exact_dedup.op8_exact_dedup,
     "op9_winnowing": decontaminate.op9_winnowing,
+    "op10_gru_toxicity": toxicity.op10_gru_toxicity,
 }
 
 ORACLES = {
