@@ -2,18 +2,32 @@
 
 from __future__ import annotations
 
-from lodestat.llm import context_mixing, count_transducer, decontaminate, exact_dedup, jaccard_join, prefix_bpe, secret_scan, toxicity, url_filters
+import corpus_pipeline
+from lodestat.llm import (
+    context_mixing,
+    count_transducer,
+    decontaminate,
+    exact_dedup,
+    jaccard_join,
+    prefix_bpe,
+    secret_scan,
+    sentence_spans,
+    toxicity,
+    url_filters,
+)
 
 QUERIES = {
     "op1_context_mixing": context_mixing.op1_context_mixing,
     "op2_ownership_secrets": secret_scan.op2_ownership_secrets,
     "op3_count_transducer": count_transducer.op3_count_transducer,
     "op4_prefix_bpe": prefix_bpe.op4_prefix_bpe,
+    "op5_sentence_spans": sentence_spans.op5_sentence_spans,
     "op6_size_aware_jaccard": jaccard_join.op6_size_aware_jaccard,
     "op7_url_filters": url_filters.op7_url_filters,
     "op8_exact_dedup": exact_dedup.op8_exact_dedup,
     "op9_winnowing": decontaminate.op9_winnowing,
     "op10_gru_toxicity": toxicity.op10_gru_toxicity,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLES = {
