@@ -1,7 +1,7 @@
 """Passages that repeat across documents, by hashes of sliding runs of sentences.
 
 A text falls into sentences, at line ends and after ``.``, ``!`` or ``?`` before white space. A sentence of more than ``LONG``
-words is cut further, after words chosen by their hash, so that copies are cut alike wherever they stand. From each sentence starts a
+words is cut further, after words chosen by their hash, so that copies are cut alike wherever they stand, or after ``MOST`` words. From each sentence starts a
 run: the fewest consecutive sentences that are at least ``RUN`` and have ``RUN_WORDS`` words. Hashes of all runs are joined over the whole
 corpus; of equal runs the first stays (smallest id, missing ids last, then first row, then place), and all sentences that any
 other covers are removed. Repeats within a text count too.
@@ -25,7 +25,8 @@ from lodestat.llm.rows import table, unused
 from lodestat.session import store
 
 RUN, RUN_WORDS = 3, 16
-LONG, LEAST = 12, 4  # words from which a sentence is cut, and words of a cut part at least
+LONG = 12  # words beyond which a sentence is cut
+LEAST, MOST = 4, 32  # words of a cut part
 END = re.compile(r"[.!?]+\s+|\n\s*")
 WORD = re.compile(r"\S+\s*")
 
@@ -49,7 +50,7 @@ def sentences(text: str) -> list[tuple[int, int, int, int]]:
         for m in WORD.finditer(text, start, end):
             word = m[0].strip()
             run.append(word)
-            if len(run) >= LEAST and zlib.crc32(word.lower().encode()) & 3 == 0:
+            if len(run) == MOST or len(run) >= LEAST and zlib.crc32(word.lower().encode()) & 3 == 0:
                 add(begin, m.end(), run)
                 begin, run = m.end(), []
         if run:
