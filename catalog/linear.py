@@ -21,12 +21,12 @@ def ols_simple(spark, sf_dir):
 
 
 def linear_predict(spark, sf_dir):
-    """Predictions and residuals at the fitted line, rounded as a report prints it."""
+    """Predictions and residuals at the fitted line."""
     rows = regression_input(spark, sf_dir)
-    line = linear.ols_simple(rows, "x", "y").select(F.round("m", 2).alias("m"), F.round("b", 2).alias("b")).first()
+    line = linear.ols_simple(rows, "x", "y").first()
     predicted = linear.linear_predict(["x"], [line["m"]], line["b"])
-    scored = rows.select("l_orderkey", "l_linenumber", predicted.alias("predicted"), "y")
-    return rounded(scored, 6, "predicted", "y")
+    scored = rows.select("l_orderkey", "l_linenumber", predicted.alias("predicted"), (F.col("y") - predicted).alias("residual"))
+    return rounded(scored, 6, "predicted", "residual")
 
 
 def gd_simple_trace(spark, sf_dir):
@@ -99,7 +99,7 @@ ORACLES = {
         round(sxy, 2) AS sum_xy, round(sx2, 2) AS sum_x2 FROM sums""",
     "ols_simple": f"WITH {DATA_SQL} SELECT n, round(m, 6) AS m, round(b, 6) AS b FROM line",
     "linear_predict": f"""WITH {DATA_SQL} SELECT l_orderkey, l_linenumber,
-        round(round(b, 2) + round(m, 2) * x, 6) AS predicted, round(y, 6) AS y FROM data, line""",
+        round(b + m * x, 6) + 0.0 AS predicted, round(y - (b + m * x), 6) + 0.0 AS residual FROM data, line""",
     "gd_simple_trace": _descent_sql(["x"], ["b", "m"]),
     "gd_multi_trace": _descent_sql(MULTI, [f"theta{i}" for i in range(len(MULTI) + 1)]),
 }

@@ -121,19 +121,19 @@ def _scores(spark, sf_dir, cosine):
 
 
 def similarity_scores(spark, sf_dir):
-    return _scores(spark, sf_dir, cosine=False)
+    return rounded(_scores(spark, sf_dir, cosine=False), 9, "score")
 
 
 def similarity_cosine(spark, sf_dir):
-    return _scores(spark, sf_dir, cosine=True)
+    return rounded(_scores(spark, sf_dir, cosine=True), 9, "score")
 
 
 def knn_predict_dot(spark, sf_dir):
-    return similarity.knn_predict(links(spark, sf_dir), similarity_scores(spark, sf_dir), NEAREST)
+    return similarity.knn_predict(links(spark, sf_dir), _scores(spark, sf_dir, cosine=False), NEAREST)
 
 
 def knn_predict_cosine(spark, sf_dir):
-    return similarity.knn_predict(links(spark, sf_dir), similarity_cosine(spark, sf_dir), NEAREST)
+    return similarity.knn_predict(links(spark, sf_dir), _scores(spark, sf_dir, cosine=True), NEAREST)
 
 
 QUERIES = {
@@ -181,8 +181,8 @@ DOT_SQL = f"""{TERMS_SQL}, {QUERY_SQL},
 q AS (SELECT query_id, term_id, cnt / sum(cnt) OVER (PARTITION BY query_id) * idf AS w
   FROM asked_counts JOIN idf USING (term_id)),
 pairs AS (SELECT doc_id, query_id FROM (SELECT DISTINCT doc_id FROM tfidf), (SELECT DISTINCT query_id FROM q)),
-hits AS (SELECT query_id, doc_id, sum(value * w) AS dot FROM tfidf JOIN q USING (term_id) GROUP BY ALL),
-scores AS (SELECT query_id, doc_id, round(coalesce(dot, 0), 9) AS score
+hits AS (SELECT query_id, doc_id, list_sum(list(value * w ORDER BY term_id)) AS dot FROM tfidf JOIN q USING (term_id) GROUP BY ALL),
+scores AS (SELECT query_id, doc_id, coalesce(dot, 0) AS score
   FROM pairs LEFT JOIN hits USING (query_id, doc_id))
 """
 COSINE_SQL = f"""{TERMS_SQL}, {QUERY_SQL},
@@ -190,11 +190,11 @@ bin AS (SELECT doc_id, term_id, 1.0::DOUBLE / count(*) OVER (PARTITION BY doc_id
   FROM counts JOIN idf USING (term_id)),
 q AS (SELECT query_id, term_id, 1.0::DOUBLE / count(*) OVER (PARTITION BY query_id) * idf AS w
   FROM asked_counts JOIN idf USING (term_id)),
-dnorm AS (SELECT doc_id, sqrt(sum(value * value)) AS dn FROM bin GROUP BY doc_id),
+dnorm AS (SELECT doc_id, sqrt(list_sum(list(value * value ORDER BY term_id))) AS dn FROM bin GROUP BY doc_id),
 qnorm AS (SELECT query_id, sqrt(sum(w * w)) AS qn FROM q GROUP BY query_id),
-hits AS (SELECT query_id, doc_id, sum(value * w) AS dot FROM bin JOIN q USING (term_id) GROUP BY ALL),
+hits AS (SELECT query_id, doc_id, list_sum(list(value * w ORDER BY term_id)) AS dot FROM bin JOIN q USING (term_id) GROUP BY ALL),
 scores AS (SELECT query_id, doc_id,
-    CASE WHEN dn * qn > 0 THEN round(coalesce(dot, 0) / (dn * qn), 9) END AS score
+    CASE WHEN dn * qn > 0 THEN coalesce(dot, 0) / qn / dn END AS score
   FROM (SELECT * FROM dnorm, qnorm) LEFT JOIN hits USING (query_id, doc_id))
 """
 VOTES_SQL = f"""
@@ -241,8 +241,8 @@ ORACLES = {
         LEFT JOIN (SELECT * FROM counts WHERE contains(doc_id, 'src0/0')) c USING (term_id) WHERE term_id < 100""",
     "category_features": f"""WITH {TERMS_SQL}, {QUERY_SQL}
         SELECT category, doc_id, term_id, round(value, 9) AS value FROM links JOIN tfidf USING (doc_id)""",
-    "similarity_scores": f"WITH {DOT_SQL} SELECT query_id, doc_id, score FROM scores",
-    "similarity_cosine": f"WITH {COSINE_SQL} SELECT query_id, doc_id, score FROM scores",
+    "similarity_scores": f"WITH {DOT_SQL} SELECT query_id, doc_id, round(score, 9) + 0.0 AS score FROM scores",
+    "similarity_cosine": f"WITH {COSINE_SQL} SELECT query_id, doc_id, round(score, 9) + 0.0 AS score FROM scores",
     "knn_predict_dot": f"WITH {DOT_SQL} {VOTES_SQL}",
     "knn_predict_cosine": f"WITH {COSINE_SQL} {VOTES_SQL}",
 }

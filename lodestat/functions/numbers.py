@@ -28,11 +28,11 @@ def nonzero(value: Column) -> Column:
 def round_half_up(value: Column, places: int = 2) -> Column:
     """Round by scaling, halves upward; the same digits in every IEEE engine.
 
-    Numbers too large to have decimal places, and what is not finite, stay as they are.
+    Numbers whose scaled value no long holds have no decimal places and stay as they are, like what is not finite.
     """
     scale = float(10**places)
     rounded = F.floor(value * scale + 0.5) / scale
-    return F.when(F.abs(value) < 1e12, rounded).otherwise(value)
+    return F.when(F.abs(value) < 2.0**63 / scale, rounded).otherwise(value)
 
 
 def exact_sum(value: Column) -> Column:

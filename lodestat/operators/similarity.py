@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lodestat.functions.text import tokens_letters
@@ -17,9 +17,11 @@ from lodestat.operators.vectors import (
 )
 from lodestat.operators.vocab import VOCABULARY_SIZE
 
-# Places kept of a score before ranking, so that copies of a document tie in whatever order
-# their terms were added.
-SCORE_PLACES = 9
+
+def _in_order(product: Column) -> Column:
+    """Sum over a document, added by term id, so that copies of a document tie to the last digit; NULLs are left out."""
+    listed = F.sort_array(F.collect_list(F.when(product.isNotNull(), F.struct("term_id", product.alias("x")))))
+    return F.aggregate(listed, F.lit(0.0), lambda total, entry: total + entry["x"])
 
 
 def query_vectors(
@@ -67,9 +69,9 @@ def similarity_scores(
     )
     joined = vectors.join(bounded_broadcast(weights, size, 16 + 8 * n_queries), "term_id", "left")
     # A term of a query whose vector has no length makes the score NULL, as a division by 0 would.
-    dots = [F.sum(F.col("value") * F.coalesce(f"_q{i}", F.lit(0.0))).alias(f"_s{i}") for i in range(n_queries)]
-    norm = F.sqrt(F.sum(F.col("value") * F.col("value"))).alias("_norm")
-    per_doc = joined.groupBy("doc_id").agg(*dots, norm)
+    dots = [_in_order(F.col("value") * F.col(f"_q{i}")).alias(f"_s{i}") for i in range(n_queries)]
+    norms = [F.sqrt(_in_order(F.col("value") * F.col("value"))).alias("_norm")] if cosine else []
+    per_doc = joined.groupBy("doc_id").agg(*dots, *norms)
     scores = [F.col(f"_s{i}") for i in range(n_queries)]
     if cosine:
         scores = [F.try_divide(s, F.col("_norm")) for s in scores]
@@ -77,7 +79,7 @@ def similarity_scores(
     answerable = queries.groupBy("query_id").agg(F.max("value").alias("_len"))
     known = F.broadcast(answerable.withColumnRenamed("query_id", "_q"))
     scored = long.join(known, F.col("query_id") == F.col("_q"))
-    score = F.when(F.col("_len").isNotNull(), F.round("score", SCORE_PLACES))
+    score = F.when(F.col("_len").isNotNull(), F.col("score"))
     return scored.select("query_id", "doc_id", score.alias("score"))
 
 

@@ -71,7 +71,7 @@ class Evaluation:
     def top_words(self, n: int = 5) -> DataFrame:
         """Words with the largest weights of a model trained by descent."""
         weights = self.model.weights_table(self.vocab.sparkSession)
-        return classify.top_coefficients(weights, self.vocab, n)
+        return classify.top_coefficients(weights, self.vocab, n, len(self.model.weights))
 
 
 def mean_tf(spark: SparkSession, path: str, words: Sequence[str], size: int = VOCABULARY_SIZE) -> DataFrame:
@@ -102,7 +102,7 @@ def logistic(
     source = {"test": test, "train": train}[idf_from]
     tested = vectors.tfidf(test.term_frequency(words, size), source.idf(words, size), size)
     scores = classify.linear_scores(tested, model.weights_table(spark), size=size)
-    return Evaluation(model, words, classify.logistic_predict(scores).withColumn("label", label()))
+    return Evaluation(model, words, store(classify.logistic_predict(scores).withColumn("label", label()), "scored"))
 
 
 def lbfgs(
@@ -118,7 +118,7 @@ def lbfgs(
         return classify.vector_rows(classify.lay_out(rows), width)
 
     model = classify.train_lbfgs(points(train), max_iter)
-    return Evaluation(model, words, classify.lbfgs_predict(model, points(test)))
+    return Evaluation(model, words, store(classify.lbfgs_predict(model, points(test)), "scored"))
 
 
 def svm(
@@ -140,4 +140,4 @@ def svm(
         objective = classify.hinge_objective(train.lines.count())
     model = classify.train(rows, words.count(), objective, max_iter)
     scores = classify.linear_scores(test.term_frequency(words, size), model.weights_table(spark), "tf", size)
-    return Evaluation(model, words, classify.margin_predict(scores).withColumn("label", label(-1)))
+    return Evaluation(model, words, store(classify.margin_predict(scores).withColumn("label", label(-1)), "scored"))

@@ -120,7 +120,7 @@ def dense_scores(texts, cosine, queries):
             score = float(v * idf @ asked)
             if cosine:
                 score /= np.linalg.norm(v * idf) * np.linalg.norm(asked)
-            scores[q, d] = round(score, similarity.SCORE_PLACES)
+            scores[q, d] = score
     return scores
 
 
@@ -167,6 +167,14 @@ def test_vector_without_length_has_no_cosine(spark):
     assert [r["category"] for r in best.collect()] == ["y"]
 
 
+def test_small_scores_keep_their_order(spark):
+    data = spark.createDataFrame([("a", 0, 1e-10), ("b", 0, 3e-10), ("c", 0, 2e-10)], "doc_id string, term_id int, value double")
+    asked = spark.createDataFrame([(0, 0, 1.0)], "query_id int, term_id int, value double")
+    links = spark.createDataFrame([(d, d) for d in "abc"], "doc_id string, category string")
+    best = similarity.nearest_rows(links, similarity.similarity_scores(data, asked, 1), 3).orderBy("rank")
+    assert [r["category"] for r in best.collect()] == ["b", "c", "a"]
+
+
 def test_category_features(setup, spark):
     counts = setup[4]
     weighted = vectors.term_frequency(counts).withColumnRenamed("tf", "value")
