@@ -12,10 +12,12 @@ class of its larger set:
 
 The boundary between the classes is where keys and list entries cost least, over the sizes of all documents.
 
-A list is first answered by stars: each set is compared with one set of its list, and linked sets become one component. After
-``ROUNDS`` such rounds only pairs of a list whose components still differ are compared. So every link between sets
-of different components is checked, while a list of thousands of near copies costs as many comparisons as it has sets.
-Comparisons intersect whole sets.
+A list is first answered by stars: each set is compared with ``HUBS`` sets of its list, and linked sets become one
+component. Then only pairs of a list whose components still differ are compared. So every link between sets of different
+components is checked, while a list of thousands of near copies costs as many comparisons as it has sets.
+
+Of a pair, the rarest shingles are compared first: those up to the point that both have listed are known to be shared or not, and the
+others of the smaller rest may be shared at most. Pairs that can't link by this are dropped; whole sets decide the others.
 
 Words: ``[^\\x20\\x09-\\x0D]+`` after A-Z are lower-cased. Texts of fewer words have their whole sequence as one shingle;
 missing texts and texts without words have an empty set, link with nothing, and are their own component. Missing ids take
@@ -38,8 +40,8 @@ from lodestat.llm.rows import table, text_bytes, unused
 from lodestat.session import store
 
 WORDS, PERCENT = 4, 85
-ROUNDS = 2
-FREQUENT = 8  # occurrences in one task from which a shingle is reported
+HUBS = 2
+FREQUENT = 2  # distinct sets of one batch from which a shingle is reported
 KNOWN_FREQUENT = 1 << 20  # as many of them, the most frequent, are put last; the order affects work alone
 SMALLEST_LARGE, LARGEST_SMALL = 6, 19
 LIST_COST = 4  # of a list entry, which leads to comparisons, against a key
@@ -108,7 +110,8 @@ def _sizes(words: int):
             yield pa.RecordBatch.from_arrays(
                 [pa.array([True] * len(ids), pa.bool_()), ids, sizes, hashes], names=["doc", "doc_id", "n", "set_id"]
             )
-            values, counts = np.unique(np.concatenate(sets), return_counts=True) if sets else (np.empty(0, np.uint64),) * 2
+            distinct = {set_hash(s): s for s in sets}.values()
+            values, counts = np.unique(np.concatenate(list(distinct)), return_counts=True) if sets else (np.empty(0, np.uint64),) * 2
             often = counts >= FREQUENT
             values = pa.array(values[often].view(np.int64))
             yield pa.RecordBatch.from_arrays(
@@ -136,38 +139,39 @@ def choose_boundary(counts: dict[int, int], percent: int = PERCENT) -> int:
 
 
 def _entries(words: int, percent: int, boundary: int, shared):
-    """``key, shared, set_id, n``: subset keys (``shared`` their size) and list entries (``shared`` 0) of each set, once a task."""
+    """``set_id, n, keys, shared, prefix, counts`` of each set, once a task.
+
+    ``keys`` and their sizes ``shared`` are a small set's subset keys. ``prefix`` has the rarest shingles of a set that takes part
+    in lists, and ``counts`` their known counts, in the common order: by count, then hash.
+    """
 
     def run(batches):
-        shingle, (frequent, counts), seen = Shingler(words), shared.value, set()
+        shingle, (frequent, known), seen = Shingler(words), shared.value, set()
         least = least_shared(boundary + 1, percent)
         for batch in batches:
-            keys, sizes, sets, totals = [], [], [], []
+            columns = [[] for _ in range(6)]
             for text in batch.column("text").to_pylist():
                 found = shingle(text)
                 size, name = len(found), set_hash(found)
-                if not size or (name, size) in seen:
+                if not size or name in seen:
                     continue
                 if len(seen) > 500_000:
                     seen.clear()
-                seen.add((name, size))
-                made = []
-                if size <= boundary:
-                    made += subset_keys(found, percent)
+                seen.add(name)
+                made = list(subset_keys(found, percent)) if size <= boundary else []
+                prefix = counts = np.zeros(0, np.int64)
                 if size >= least:
-                    rank = np.zeros(size, np.int64)
+                    counts = np.zeros(size, np.int64)
                     if len(frequent):
                         at = np.minimum(np.searchsorted(frequent, found), len(frequent) - 1)
-                        rank = np.where(frequent[at] == found, counts[at], 0)
-                    rarest = found[np.lexsort((found, rank))][: size - least_shared(size, percent) + 1]
-                    made += [(int(v).to_bytes(8, "big"), 0) for v in rarest]
-                keys += [k for k, _ in made]
-                sizes += [s for _, s in made]
-                sets += [name] * len(made)
-                totals += [size] * len(made)
+                        counts = np.where(frequent[at] == found, known[at], 0)
+                    rarest = np.lexsort((found, counts))[: size - least_shared(size, percent) + 1]
+                    prefix, counts = found[rarest].view(np.int64), counts[rarest]
+                for column, value in zip(columns, (name, size, [k for k, _ in made], [k for _, k in made], prefix, counts)):
+                    column.append(value)
+            kinds = (pa.int64(), pa.int64(), pa.list_(pa.binary()), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(keys, pa.binary()), pa.array(sizes, pa.int32()), pa.array(sets, pa.int64()), pa.array(totals, pa.int64())],
-                names=["key", "shared", "set_id", "n"],
+                [pa.array(c, k) for c, k in zip(columns, kinds)], names=["set_id", "n", "keys", "shared", "prefix", "counts"]
             )
 
     return run
@@ -246,7 +250,8 @@ def compare(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def _subset_links(entries: DataFrame, percent: int) -> DataFrame:
     """Links of small sets: in a bucket, those of its smallest set."""
-    buckets = entries.filter("shared > 0")
+    keys = F.explode(F.arrays_zip("keys", "shared")).alias("made")
+    buckets = entries.select("set_id", "n", keys).select("set_id", "n", F.col("made.keys").alias("key"), "made.shared")
     heads = buckets.groupBy("key", "shared").agg(F.min(F.struct("n", "set_id")).alias("head"), F.max("set_id").alias("last"), F.min("set_id").alias("first"))
     heads = store(heads.filter("first <> last").select("key", "shared", "head"), "jaccard-buckets")
     met = buckets.join(heads, ["key", "shared"]).filter(
@@ -259,54 +264,104 @@ def _similar_size(one, other, percent: int):
     return F.lit(100) * F.least(one, other) >= F.lit(percent) * F.greatest(one, other)
 
 
+def _may_link(percent: int):
+    """Pairs whose rarest shingles don't rule a link out."""
+
+    def run(batches):
+        for batch in batches:
+            sides = [
+                [np.array(v, np.int64) for v in batch.column(f"{side}_{name}").to_pylist()]
+                for side in ("a", "b") for name in ("prefix", "counts")
+            ]
+            sizes = zip(batch.column("a_n").to_pylist(), batch.column("b_n").to_pylist())
+            keep = []
+            for one, one_counts, two, two_counts, (n_one, n_two) in zip(*sides, sizes):
+                one, two = one.view(np.uint64), two.view(np.uint64)
+                # both have listed all that they hold up to here, in the common order
+                count, last = min((one_counts[-1], one[-1]), (two_counts[-1], two[-1]))
+                both = len(np.intersect1d(one, two, assume_unique=True))
+                rest = min(
+                    n - int(((counts < count) | ((counts == count) & (values <= last))).sum())
+                    for n, counts, values in ((n_one, one_counts, one), (n_two, two_counts, two))
+                )
+                most = both + rest
+                keep.append(100 * most >= percent * (n_one + n_two - most))
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return run
+
+
+class Comparer:
+    """Answers which pairs of sets link; texts are read for the sets that need comparing."""
+
+    def __init__(self, texts: DataFrame, entries: DataFrame, words: int, percent: int):
+        self.texts, self.words, self.percent = texts, words, percent
+        self.entries = entries.select("set_id", "n", "prefix", "counts")
+
+    def _side(self, name: str) -> DataFrame:
+        return self.entries.select(
+            F.col("set_id").alias(name), *(F.col(c).alias(f"{name}_{c}") for c in ("n", "prefix", "counts"))
+        )
+
+    def links(self, pairs: DataFrame) -> DataFrame:
+        """The pairs ``a, b`` that link, kept."""
+        pairs = store(pairs, "jaccard-pairs")
+        both = pairs.join(self._side("b"), "b").join(self._side("a"), "a")
+        likely = store(both.mapInArrow(_may_link(self.percent), "a long, b long"), "jaccard-likely")
+        ids = store(likely.select(F.explode(F.array("a", "b")).alias("set_id")).distinct(), "jaccard-ids")
+        if ids.isEmpty():
+            return likely
+        bits = self.texts.sparkSession.sparkContext.broadcast(_bloom(ids))
+        sets = self.texts.mapInArrow(_wanted_sets(self.words, bits), "set_id long, found binary")
+        sets = store(sets.join(ids, "set_id").groupBy("set_id").agg(F.first("found").alias("found")), "jaccard-sets")
+        return compare(likely, sets, self.percent).filter("linked").select("a", "b")
+
+
 def set_components(texts: DataFrame, boundary: int, frequent, words: int, percent: int) -> DataFrame:
     """``node, root`` of every set that links with another."""
-    spark = texts.sparkSession
-    context = spark.sparkContext
-    schema = "key binary, shared int, set_id long, n long"
-    entries = store(texts.mapInArrow(_entries(words, percent, boundary, context.broadcast(frequent)), schema), "jaccard-entries")
-    links = store(_subset_links(entries, percent), "jaccard-links")
-    roots = components(links)
-
-    lists = entries.filter("shared = 0").select("key", "set_id", "n")
+    context = texts.sparkSession.sparkContext
+    schema = "set_id long, n long, keys array<binary>, shared array<int>, prefix array<long>, counts array<long>"
+    made = texts.mapInArrow(_entries(words, percent, boundary, context.broadcast(frequent)), schema)
+    raw = store(made, "jaccard-entries")
+    links = store(_subset_links(raw, percent), "jaccard-links")
+
+    # copies of a set in several tasks count once
+    entries = raw.filter("size(prefix) > 0")
+    lists = entries.select(F.explode("prefix").alias("key"), "set_id", "n")
     several = lists.groupBy("key").agg(F.min("set_id").alias("first"), F.max("set_id").alias("last"))
     several = store(several.filter("first <> last").select("key"), "jaccard-lists")
     members = store(lists.join(several, "key").distinct(), "jaccard-members")
     if members.isEmpty():
-        return roots
-    ids = store(members.select("set_id").distinct(), "jaccard-ids")
-    sets = texts.mapInArrow(_wanted_sets(words, context.broadcast(_bloom(ids))), "set_id long, found binary")
-    sets = store(sets.join(ids, "set_id").groupBy("set_id").agg(F.first("found").alias("found")), "jaccard-sets")
-
-    compared = None
-    for turn in range(ROUNDS + 1):
-        named = members.join(roots, members["set_id"] == roots["node"], "left")
-        named = named.select("key", "set_id", "n", F.coalesce("root", "set_id").alias("root"))
-        chosen = F.min(F.struct(F.xxhash64("set_id", F.lit(turn)).alias("order"), "set_id", "n", "root")).alias("hub")
-        hubs = named.groupBy("key").agg(chosen, F.min("root").alias("first"), F.max("root").alias("last"))
-        hubs = store(hubs.filter("first <> last").select("key", "hub"), "jaccard-hubs")
-        if turn < ROUNDS:
-            met = named.join(hubs, "key").filter(F.col("root") != F.col("hub.root"))
-            met = met.filter(_similar_size(F.col("n"), F.col("hub.n"), percent))
-            pairs = met.select(F.least("set_id", "hub.set_id").alias("a"), F.greatest("set_id", "hub.set_id").alias("b"))
-        else:  # all that is left: pairs of one list in different components
-            rest = store(named.join(hubs.select("key"), "key", "left_semi"), "jaccard-rest")
-            other = rest.select("key", *(F.col(c).alias(f"other_{c}") for c in ("set_id", "n", "root")))
-            met = rest.join(other, "key").filter("set_id < other_set_id and root <> other_root")
-            met = met.filter(_similar_size(F.col("n"), F.col("other_n"), percent))
-            pairs = met.select(F.col("set_id").alias("a"), F.col("other_set_id").alias("b"))
-        pairs = pairs.distinct()
-        if compared is not None:
-            pairs = pairs.join(compared, ["a", "b"], "left_anti")
-        now = compare(store(pairs, "jaccard-pairs"), sets, percent)
-        compared = now if compared is None else compared.unionByName(now)
-        found = now.filter("linked").select("a", "b")
-        if found.isEmpty():
-            continue
-        # known components as one edge per set, so that the new links join them
-        links = found.unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b")))
-        roots = components(links)
-    return roots
+        return components(links)
+    known = store(
+        entries.groupBy("set_id").agg(*(F.first(c).alias(c) for c in ("n", "prefix", "counts"))), "jaccard-prefixes"
+    )
+    compare_all = Comparer(texts, known, words, percent)
+
+    pairs = None
+    for turn in range(HUBS):
+        chosen = F.min(F.struct(F.xxhash64("set_id", F.lit(turn)).alias("order"), "set_id", "n")).alias("hub")
+        hubs = store(members.groupBy("key").agg(chosen), "jaccard-hubs")
+        met = members.join(hubs, "key").filter(F.col("set_id") != F.col("hub.set_id"))
+        met = met.filter(_similar_size(F.col("n"), F.col("hub.n"), percent))
+        met = met.select(F.least("set_id", "hub.set_id").alias("a"), F.greatest("set_id", "hub.set_id").alias("b"))
+        pairs = met if pairs is None else pairs.unionByName(met)
+    pairs = store(pairs.distinct(), "jaccard-stars")
+    roots = components(links.unionByName(compare_all.links(pairs)))
+
+    # all that is left: pairs of one list in different components
+    named = members.join(roots, members["set_id"] == roots["node"], "left")
+    named = store(named.select("key", "set_id", "n", F.coalesce("root", "set_id").alias("root")), "jaccard-named")
+    opened = named.groupBy("key").agg(F.min("root").alias("first"), F.max("root").alias("last"))
+    opened = store(opened.filter("first <> last").select("key"), "jaccard-open")
+    rest = store(named.join(opened, "key", "left_semi"), "jaccard-rest")
+    other = rest.select("key", *(F.col(c).alias(f"other_{c}") for c in ("set_id", "n", "root")))
+    met = rest.join(other, "key").filter("set_id < other_set_id and root <> other_root")
+    met = met.filter(_similar_size(F.col("n"), F.col("other_n"), percent))
+    met = met.select(F.col("set_id").alias("a"), F.col("other_set_id").alias("b")).distinct()
+    found = compare_all.links(met.join(pairs, ["a", "b"], "left_anti"))
+    # known components as one edge per set, so that the new links join them
+    return components(found.unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))
 
 
 def near_groups(
