@@ -1,5 +1,10 @@
+import os
+import sys
+
 import pytest
 
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+
 LONG = "word " * 30_000 + "end"
 
 

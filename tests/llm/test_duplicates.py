@@ -1,22 +1,11 @@
 import collections
 import random
-import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from lodestat.llm import decontaminate, exact_dedup, jaccard_join, links, sentence_spans
-
-SPACE = re.compile(r"[\x20\x09-\x0D]+")
-UPPER = {c: c + 32 for c in range(65, 91)}
-
-
-def by_norm(rows):
-    groups = collections.defaultdict(list)
-    for r in rows:
-        groups[SPACE.sub("", r.text or "")].append(r)
-    return groups
-
+from tests_llm_brute import brute_components, brute_hits, by_norm
 
 def test_exact_groups_of_odd_documents(odd, none):
     got = exact_dedup.exact_groups(odd).collect()
@@ -62,27 +51,6 @@ def test_components(spark):
     assert links.components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
-def brute_components(rows):
-    sets = {}
-    for k, text in rows:
-        words = [w for w in SPACE.split((text or "").translate(UPPER)) if w]
-        sets[k] = frozenset(tuple(words[i : i + 4]) for i in range(max(1, len(words) - 3))) if words else frozenset()
-    name = {k: k for k in sets}
-
-    def root(x):
-        while name[x] != x:
-            x = name[x]
-        return x
-
-    for a in sets:
-        for b in sets:
-            both = len(sets[a] & sets[b])
-            if a < b and both and 100 * both >= 85 * (len(sets[a]) + len(sets[b]) - both):
-                x, y = root(a), root(b)
-                name[max(x, y)] = min(x, y)
-    return {k: (len(sets[k]), root(k)) for k in sets}
-
-
 def near_rows(seed):
     draw = random.Random(seed)
     words = [f"w{k}" for k in range(300)]
@@ -160,21 +128,6 @@ def test_repeats_of_odd_documents(odd, none):
     assert sentence_spans.repeated_spans(none).count() == 0
 
 
-def brute_hits(text, items):
-    split = re.compile(r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+")
-    words = [w for w in split.split((text or "").translate(UPPER)) if w]
-    hit, found = set(), set()
-    for item, content in items:
-        its = [w for w in split.split((content or "").translate(UPPER)) if w]
-        size = min(10, len(its))
-        for k in range(len(its) - size + 1 if its else 0):
-            for at in range(len(words) - size + 1):
-                if words[at : at + size] == its[k : k + size]:
-                    hit |= set(range(at, at + size))
-                    found.add(str(item))
-    return len(words), len(hit), sorted(found)
-
-
 def test_winnowing_misses_no_window(spark):
     draw = random.Random(6)
     words = ["ab", "c1", "dé", "EF", "gh", "ij"]
