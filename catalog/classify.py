@@ -13,8 +13,6 @@ from lodestat.operators import classify, evaluate, vectors, vocab
 from lodestat.session import materialize
 from lodestat.sources.documents import class_label
 
-ITERATIONS = 10
-
 
 def _label():
     return class_label(F.col("doc_id"))
@@ -99,21 +97,21 @@ def weighted_hinge_step(spark, sf_dir):
 def logreg_train(spark, sf_dir):
     words, size = _words(spark, sf_dir)
     rows = classify.lay_out(classify.training_rows(_tfidf(spark, sf_dir, words), _label()))
-    return classify.train(rows, size, classify.logistic_objective(), ITERATIONS).weights_table(spark)
+    return classify.train(rows, size, classify.logistic_objective()).weights_table(spark)
 
 
 def svm_train(spark, sf_dir):
     words, size = _words(spark, sf_dir)
     rows = classify.lay_out(classify.training_rows(_tf(spark, sf_dir, words), _side(), "tf"))
     lines = vocab.corpus_count(labelled_documents(spark, sf_dir)).first()["n"]
-    return classify.train(rows, size, classify.hinge_objective(lines), ITERATIONS).weights_table(spark)
+    return classify.train(rows, size, classify.hinge_objective(lines)).weights_table(spark)
 
 
 def weighted_svm_train(spark, sf_dir):
     words, size = _words(spark, sf_dir)
     rows = classify.lay_out(classify.training_rows(_tf(spark, sf_dir, words), _side(), "tf"))
     objective = classify.weighted_hinge_objective(*_class_sizes(rows))
-    return classify.train(rows, size, objective, ITERATIONS).weights_table(spark)
+    return classify.train(rows, size, objective).weights_table(spark)
 
 
 def logreg_lbfgs(spark, sf_dir):

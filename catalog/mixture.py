@@ -11,7 +11,7 @@ from lodestat.operators.vocab import VOCABULARY_SIZE
 from lodestat.session import materialize, store
 
 K = mixture.CLUSTERS
-SWEEPS = 5
+SWEEPS = mixture.SWEEPS
 SEED = 7
 
 
@@ -66,7 +66,7 @@ def mixture_top_words(spark, sf_dir):
 
 
 def mixture_gibbs(spark, sf_dir):
-    """Clusters of all posts after a few sweeps."""
+    """Clusters of all posts after all sweeps."""
     words = materialize(post_dictionary(spark, sf_dir))
     rows = mixture.document_rows(posts(spark, sf_dir), post_terms(spark, sf_dir, words))
     return mixture.mixture_gibbs(rows, words.count(), K, sweeps=SWEEPS, seed=SEED).assigned

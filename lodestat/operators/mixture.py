@@ -259,4 +259,7 @@ def mixture_gibbs(
             params = draw_parameters(docs, terms, seed, sweep, alpha, beta)
     finally:
         cached.unpersist()
-    return Mixture(assign(rows, shared, seed, sweeps - 1), params)
+    # stored, so that every report sees one assignment
+    assigned = store(assign(rows, shared, seed, sweeps - 1), "assigned")
+    shared.destroy()
+    return Mixture(assigned, params)

@@ -21,7 +21,8 @@ class PostCorpus:
     """Posts with the dictionary of their words and the counts of dictionary words per post.
 
     Dictionary and counts use different tokenisers on purpose: ``don't`` enters the dictionary as
-    ``dont`` and is never counted. The file is read and unpacked once, into Parquet.
+    ``dont`` and is never counted. The file is read and unpacked once, into Parquet. Each line is a post; ``doc_id`` is
+    its id and the number of its line, since ids may be missing or repeated.
     """
 
     posts: DataFrame
@@ -31,10 +32,15 @@ class PostCorpus:
 
     @classmethod
     def read(cls, spark: SparkSession, path: str, size: int = VOCABULARY_SIZE) -> PostCorpus:
-        parsed = parse_posts(read_lines(spark, path)).select("doc_id", "category", "body")
+        # a line is a post, whatever its id: the line's number, written once, makes its key
+        line = F.monotonically_increasing_id().cast("string")
+        parsed = parse_posts(read_lines(spark, path)).select(
+            F.concat_ws("#", "doc_id", line).alias("doc_id"), "category", "body"
+        )
         posts = spread(store(parsed, "posts"))
         words = materialize(vocab.vocabulary(vocab.word_count(tokens_strip(posts)), size))
-        return cls(posts, words, vectors.doc_term_counts(tokens_edge_trim(posts), words, size), size)
+        counts = store(vectors.doc_term_counts(tokens_edge_trim(posts), words, size), "post-counts")
+        return cls(posts, words, counts, size)
 
     def top_terms(self, part_of_id: str, n: int = 100) -> DataFrame:
         """Counts of the n most common dictionary words in the post whose id contains the text."""

@@ -97,7 +97,7 @@ def post_id(header: Column) -> Column:
 
 
 def parse_posts(lines: DataFrame, value: str = "value") -> DataFrame:
-    """``header, doc_id, category, body``. Lines with the same id are parts of one post."""
+    """``header, doc_id, category, body`` of each line; ids may be missing or repeated."""
     line, header = F.col(value), F.col("header")
     tagged = lines.select(post_header(line).alias("header"), post_body(line).alias("body"))
     return tagged.select("header", post_id(header).alias("doc_id"), post_category(header).alias("category"), "body")

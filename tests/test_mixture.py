@@ -135,5 +135,16 @@ def test_post_corpus(spark, text_file):
     assert set(words) == {"image", "files", "dont"}
     top = {r["word"]: r["cnt"] for r in corpus.top_terms("a/101").collect()}
     assert top == {"image": 2, "files": 1, "dont": 1}
-    maps = {r["doc_id"]: (r["counts"], r["total"]) for r in corpus.term_maps().collect()}
+    maps = {r["doc_id"].split("#")[0]: (r["counts"], r["total"]) for r in corpus.term_maps().collect()}
     assert maps["n/b/2"] == ({words["files"]: 1}, 1)
+
+
+def test_every_line_is_a_post(spark, text_file):
+    path = text_file(
+        "posts.txt",
+        '<doc id="n/a/1" url="u"> one two </doc>', '<doc id="n/a/1" url="u"> two three </doc>',
+        "no tag one", "no tag two", '<doc id="n/b/2" url="u"> three </doc>',
+    )
+    found = cluster_posts(spark, path, k=2, sweeps=3, seed=1)
+    assert found.doc_counts().agg(F.sum("n")).first()[0] == 5
+    assert found.assigned().groupBy("cluster").count().agg(F.sum("count")).first()[0] == 5
