@@ -15,6 +15,14 @@ def bounded_broadcast(df: DataFrame, max_rows: int, row_bytes: int = 100) -> Dat
     return F.broadcast(df) if max_rows * row_bytes <= BROADCAST_BYTES else df
 
 
+def gathered(df: DataFrame, per_core: int = 4) -> DataFrame:
+    """``df`` in at most ``per_core`` partitions a core, without a shuffle.
+
+    A task that adds up its rows then leaves one sum for many splits, so that sums follow cores and not splits.
+    """
+    return df.coalesce(per_core * df.sparkSession.sparkContext.defaultParallelism)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Use all cores when the input has fewer splits than there are cores.
 

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
-from lodestat.layout import bounded_broadcast
+from lodestat.layout import bounded_broadcast, gathered
 from lodestat.operators.vocab import VOCABULARY_SIZE
 from lodestat.session import store
 
@@ -250,7 +250,7 @@ def mixture_gibbs(
             if shared is not None:
                 shared.destroy()
             shared = share_parameters(rows.sparkSession, params)
-            table = sweep_counts(cached, shared, seed, sweep).toArrow()
+            table = sweep_counts(gathered(cached), shared, seed, sweep).toArrow()
             cluster, term, cnt = (table[c].to_numpy() for c in ("cluster", "term_id", "cnt"))
             docs, terms = np.zeros(k), np.zeros((k, size))
             inside = term != DOCS_ROW

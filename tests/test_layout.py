@@ -46,6 +46,19 @@ def test_spread_leaves_many_splits_alone(spark):
     assert layout.spread(spark.range(100, numPartitions=1)).rdd.getNumPartitions() == cores
 
 
+def test_passes_leave_sums_per_core_not_per_split(spark):
+    cores = spark.sparkContext.defaultParallelism
+    rows = spark.range(0, 4000, 1, 50 * cores).select(
+        F.lit(1.0).alias("label"), F.array(F.lit(0), F.lit(1)).alias("idx"), F.array(F.lit(1.0), F.lit(2.0)).alias("val")
+    )
+    few = layout.gathered(rows)
+    assert few.rdd.getNumPartitions() == 4 * cores
+    shared = classify.share_weights(spark, [0.0, 0.0])
+    totals = [classify.loss_pass(r, shared, classify.logistic_objective().loss).collect() for r in (rows, few)]
+    assert sorted((r["term_id"], round(r["total"], 6)) for r in totals[0]) == sorted((r["term_id"], round(r["total"], 6)) for r in totals[1])
+    assert layout.gathered(spark.range(10, numPartitions=2)).rdd.getNumPartitions() == 2
+
+
 def test_kept_tables(spark):
     df = spark.range(5).select("id", F.array(F.lit(1.5)).alias("v"))
     for kept in (materialize(df), store(df)):
