@@ -16,7 +16,8 @@ A list is first answered by stars: each set is compared with ``HUBS`` sets of it
 component. Then only pairs of a list whose components still differ are compared. So every link between sets of different
 components is checked, while a list of thousands of near copies costs as many comparisons as it has sets.
 
-Of a pair, the rarest shingles are compared first: those up to the point that both have listed are known to be shared or not, and the
+Places in the common order bound what sets that meet at a shingle can share, so shingles that come late in a set lead to few
+pairs. Of a pair, the rarest shingles are compared first: those up to the point that both have listed are known to be shared or not, and the
 others of the smaller rest may be shared at most. Pairs that can't link by this are dropped; whole sets decide the others.
 
 Words: ``[^\\x20\\x09-\\x0D]+`` after A-Z are lower-cased. Texts of fewer words have their whole sequence as one shingle;
@@ -47,11 +48,19 @@ SMALLEST_LARGE, LARGEST_SMALL = 6, 19
 LIST_COST = 4  # of a list entry, which leads to comparisons, against a key
 
 
+class WordHashes(dict):
+    """Hashes of the words met so far."""
+
+    def __missing__(self, word: bytes) -> int:
+        found = self[word] = xxhash.xxh64_intdigest(word)
+        return found
+
+
 class Shingler:
-    """Sets of hashed shingles, with the hashes of words met so far."""
+    """Sets of hashed shingles."""
 
     def __init__(self, words: int = WORDS, room: int = 500_000):
-        self.words, self.room, self.known = words, room, {}
+        self.words, self.room, self.known = words, room, WordHashes()
 
     def __call__(self, text: bytes) -> np.ndarray:
         """The sorted hashes of the text's set."""
@@ -59,9 +68,6 @@ class Shingler:
         known = self.known
         if len(known) > self.room:
             known.clear()
-        for token in set(tokens):
-            if token not in known:
-                known[token] = xxhash.xxh64_intdigest(token)
         hashes = np.fromiter(map(known.__getitem__, tokens), np.uint64, len(tokens))
         if not tokens:
             return hashes
@@ -317,6 +323,16 @@ class Comparer:
         return compare(likely, sets, self.percent).filter("linked").select("a", "b")
 
 
+def _enough_left(n: str, place: str, other_n: str, other_place: str, percent: int):
+    """Whether sets whose first common shingle, in the common order, is at these places may still link.
+
+    They share it and no more than follows it in either. Later common shingles leave less, so a pair that may link is met at
+    its first one at the latest.
+    """
+    most = F.least(F.col(n) - F.col(place), F.col(other_n) - F.col(other_place))
+    return F.lit(100 + percent) * most >= F.lit(percent) * (F.col(n) + F.col(other_n))
+
+
 def set_components(texts: DataFrame, boundary: int, frequent, words: int, percent: int) -> DataFrame:
     """``node, root`` of every set that links with another."""
     context = texts.sparkSession.sparkContext
@@ -327,7 +343,7 @@ def set_components(texts: DataFrame, boundary: int, frequent, words: int, percen
 
     # copies of a set in several tasks count once
     entries = raw.filter("size(prefix) > 0")
-    lists = entries.select(F.explode("prefix").alias("key"), "set_id", "n")
+    lists = entries.select(F.posexplode("prefix").alias("place", "key"), "set_id", "n")
     several = lists.groupBy("key").agg(F.min("set_id").alias("first"), F.max("set_id").alias("last"))
     several = store(several.filter("first <> last").select("key"), "jaccard-lists")
     members = store(lists.join(several, "key").distinct(), "jaccard-members")
@@ -340,10 +356,11 @@ def set_components(texts: DataFrame, boundary: int, frequent, words: int, percen
 
     pairs = None
     for turn in range(HUBS):
-        chosen = F.min(F.struct(F.xxhash64("set_id", F.lit(turn)).alias("order"), "set_id", "n")).alias("hub")
+        chosen = F.min(F.struct(F.xxhash64("set_id", F.lit(turn)).alias("order"), "set_id", "n", "place")).alias("hub")
         hubs = store(members.groupBy("key").agg(chosen), "jaccard-hubs")
         met = members.join(hubs, "key").filter(F.col("set_id") != F.col("hub.set_id"))
         met = met.filter(_similar_size(F.col("n"), F.col("hub.n"), percent))
+        met = met.filter(_enough_left("n", "place", "hub.n", "hub.place", percent))
         met = met.select(F.least("set_id", "hub.set_id").alias("a"), F.greatest("set_id", "hub.set_id").alias("b"))
         pairs = met if pairs is None else pairs.unionByName(met)
     pairs = store(pairs.distinct(), "jaccard-stars")
@@ -351,13 +368,15 @@ def set_components(texts: DataFrame, boundary: int, frequent, words: int, percen
 
     # all that is left: pairs of one list in different components
     named = members.join(roots, members["set_id"] == roots["node"], "left")
-    named = store(named.select("key", "set_id", "n", F.coalesce("root", "set_id").alias("root")), "jaccard-named")
+    named = named.select("key", "set_id", "n", "place", F.coalesce("root", "set_id").alias("root"))
+    named = store(named, "jaccard-named")
     opened = named.groupBy("key").agg(F.min("root").alias("first"), F.max("root").alias("last"))
     opened = store(opened.filter("first <> last").select("key"), "jaccard-open")
     rest = store(named.join(opened, "key", "left_semi"), "jaccard-rest")
-    other = rest.select("key", *(F.col(c).alias(f"other_{c}") for c in ("set_id", "n", "root")))
+    other = rest.select("key", *(F.col(c).alias(f"other_{c}") for c in ("set_id", "n", "place", "root")))
     met = rest.join(other, "key").filter("set_id < other_set_id and root <> other_root")
     met = met.filter(_similar_size(F.col("n"), F.col("other_n"), percent))
+    met = met.filter(_enough_left("n", "place", "other_n", "other_place", percent))
     met = met.select(F.col("set_id").alias("a"), F.col("other_set_id").alias("b")).distinct()
     found = compare_all.links(met.join(pairs, ["a", "b"], "left_anti"))
     # known components as one edge per set, so that the new links join them
