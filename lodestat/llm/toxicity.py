@@ -283,16 +283,29 @@ def fit(docs: DataFrame, labels: DataFrame, held_out, id_col: str = "doc_id", te
     known = known.withColumn("place", F.xxhash64("doc_id"))
     found = docs.select(F.col(id_col).alias("doc_id"), text_bytes(text_col).alias("text"))
     found = found.filter(F.octet_length("text") <= LONGEST)
-    texts, marks = [], []
+    sample = None
     for label in (0, 1):
         some = known.filter(F.col("toxic") == label).orderBy("place", "doc_id").limit(PER_LABEL)
-        rows = found.join(some, "doc_id").orderBy("place", "doc_id", "text").limit(PER_LABEL).select("text")
-        rows = [bytes(r["text"]) for r in rows.toLocalIterator()]
-        texts += rows
-        marks += [label] * len(rows)
-    if len(set(marks)) < 2:
-        return None
-    return train(texts, np.array(marks, np.float32)).p
+        rows = found.join(some, "doc_id").orderBy("place", "doc_id", "text").limit(PER_LABEL).select("text", "toxic")
+        sample = rows if sample is None else sample.unionByName(rows)
+    # one task trains on the bounded sample; the driver gets the parameters alone
+    learned = sample.coalesce(1).mapInArrow(_train_on, "name string, shape array<int>, packed binary").collect()
+    return {r["name"]: np.frombuffer(r["packed"], np.float32).reshape(r["shape"]) for r in learned} or None
+
+
+def _train_on(batches):
+    """``name, shape, packed``: the parameters learned from all rows; none without both labels."""
+    rows = [row for batch in batches for row in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist())]
+    rows.sort(key=lambda row: (row[1], zlib.crc32(row[0]), row[0]))
+    if len({mark for _, mark in rows}) == 2:
+        learned = train([text for text, _ in rows], np.array([mark for _, mark in rows], np.float32)).p
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(list(learned), pa.string()), pa.array([v.shape for v in learned.values()], pa.list_(pa.int32())),
+                pa.array([v.astype(np.float32).tobytes() for v in learned.values()], pa.binary()),
+            ],
+            names=["name", "shape", "packed"],
+        )
 
 
 def scores(docs: DataFrame, labels: DataFrame, held_out, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
