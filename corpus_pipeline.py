@@ -14,6 +14,8 @@ from lodestat.llm import decontaminate, exact_dedup, jaccard_join, prefix_bpe, t
 from lodestat.llm.rows import table
 from lodestat.session import store
 
+NEAR_WORDS, NEAR_PERCENT = 5, 80  # of the near copies; the query op6 has a contract of its own
+
 
 def keep_civil(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score below the threshold, by a network trained on the labels."""
@@ -26,8 +28,8 @@ def keep_unequal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def keep_unlike(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group that links of shingle sets hold together."""
-    return jaccard_join.drop_near_copies(docs)
+    """One document of each group that links of shingle sets hold together, by the pipeline's own runs and share."""
+    return jaccard_join.drop_near_copies(docs, words=NEAR_WORDS, percent=NEAR_PERCENT)
 
 
 def keep_unseen(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
