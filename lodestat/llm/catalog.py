@@ -9,6 +9,7 @@ from lodestat.llm import (
     decontaminate,
     exact_dedup,
     jaccard_join,
+    packing,
     prefix_bpe,
     secret_scan,
     sentence_spans,
@@ -27,6 +28,7 @@ QUERIES = {
     "op8_exact_dedup": exact_dedup.op8_exact_dedup,
     "op9_winnowing": decontaminate.op9_winnowing,
     "op10_gru_toxicity": toxicity.op10_gru_toxicity,
+    "op11_dominance_packing": packing.op11_dominance_packing,
     "pipeline": corpus_pipeline.run,
 }
 
