@@ -5,6 +5,7 @@ from __future__ import annotations
 import corpus_pipeline
 from lodestat.llm import (
     context_mixing,
+    conversation_repair,
     count_transducer,
     decontaminate,
     exact_dedup,
@@ -29,6 +30,7 @@ QUERIES = {
     "op9_winnowing": decontaminate.op9_winnowing,
     "op10_gru_toxicity": toxicity.op10_gru_toxicity,
     "op11_dominance_packing": packing.op11_dominance_packing,
+    "op12_survivor_repair": conversation_repair.op12_survivor_repair,
     "pipeline": corpus_pipeline.run,
 }
 
