@@ -12,6 +12,7 @@ from lodestat.llm import (
     jaccard_join,
     packing,
     prefix_bpe,
+    prefix_trie,
     secret_scan,
     sentence_spans,
     toxicity,
@@ -31,6 +32,7 @@ QUERIES = {
     "op10_gru_toxicity": toxicity.op10_gru_toxicity,
     "op11_dominance_packing": packing.op11_dominance_packing,
     "op12_survivor_repair": conversation_repair.op12_survivor_repair,
+    "op13_ternary_trie": prefix_trie.op13_ternary_trie,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -38,4 +40,5 @@ ORACLES = {
     "op7_url_filters": url_filters.OP7_SQL,
     "op8_exact_dedup": exact_dedup.OP8_SQL,
     "op9_winnowing": decontaminate.OP9_SQL,
+    "op13_ternary_trie": prefix_trie.OP13_SQL,
 }
