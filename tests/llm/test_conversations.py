@@ -186,3 +186,11 @@ def test_damage_gives_plain_rows(spark, talks):
 def test_empty_conversations(spark):
     none = spark.createDataFrame([], ROWS)
     assert repair.audit(none).count() == repair.repaired(none).count() == repair.damage(none).count() == 0
+
+
+def test_query_audits_the_table(spark):
+    folder = "/root/testdata/sf0.01"
+    rows = [tuple(r) for r in spark.read.parquet(f"{folder}/conversations.parquet").select("conv_id", "turn", "role", "text").collect()]
+    want = {c: expected(r) for c, r in damaged(rows).items()}
+    found = repair.op12_survivor_repair(spark, folder).collect()
+    assert len(found) == len(want) and {r.conv_id: tuple(r)[1:] for r in found} == want
