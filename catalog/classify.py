@@ -7,9 +7,8 @@ from pyspark.sql import functions as F
 
 from catalog.inputs import labelled_documents
 from catalog.text import VOCAB_SQL, letters_vocabulary
-from catalog.vectors import LABELLED_TOKENS_SQL, n_docs, rounded
-from lodestat.functions.text import tokens_letters
-from lodestat.operators import classify, evaluate, vectors, vocab
+from catalog.vectors import LABELLED_TOKENS_SQL, letters_rows, n_docs, rounded
+from lodestat.operators import classify, doc_rows, evaluate, vectors, vocab
 from lodestat.session import materialize
 from lodestat.sources.documents import class_label
 
@@ -22,24 +21,22 @@ def _side():
     return class_label(F.col("doc_id"), negative=-1)
 
 
-def _terms(spark, sf_dir, words):
-    return vectors.doc_term_counts(tokens_letters(labelled_documents(spark, sf_dir)), words)
+def _terms(spark, sf_dir):
+    """Labelled documents as term rows, and their vocabulary."""
+    return letters_rows(spark, sf_dir, labelled_documents(spark, sf_dir))
 
 
-def _tfidf(spark, sf_dir, words):
-    counts = _terms(spark, sf_dir, words)
-    weights = vectors.idf(vectors.document_frequency(counts), n_docs(spark, sf_dir))
-    return vectors.tfidf(vectors.term_frequency(counts), weights)
+def _tfidf(spark, sf_dir):
+    """TF-IDF rows, the vocabulary, and its size."""
+    rows, words = _terms(spark, sf_dir)
+    weights = vectors.idf(doc_rows.document_frequency(rows), n_docs(spark, sf_dir))
+    return doc_rows.vector_rows(rows, weights), words, words.count()
 
 
-def _tf(spark, sf_dir, words):
-    return vectors.term_frequency(_terms(spark, sf_dir, words))
-
-
-def _words(spark, sf_dir):
-    """The vocabulary, kept, and its size."""
-    words = materialize(letters_vocabulary(spark, sf_dir))
-    return words, words.count()
+def _tf(spark, sf_dir):
+    """Term frequency rows, the vocabulary, and its size."""
+    rows, words = _terms(spark, sf_dir)
+    return doc_rows.frequency_rows(rows), words, words.count()
 
 
 def _dense(words, totals, places=7):
@@ -66,18 +63,16 @@ def class_counts(spark, sf_dir):
 
 def logreg_step(spark, sf_dir):
     """Cost (term -1) and gradient of the logistic loss, without penalty, at the sample weights."""
-    words, size = _words(spark, sf_dir)
-    rows = classify.training_rows(_tfidf(spark, sf_dir, words), _label())
+    found, words, size = _tfidf(spark, sf_dir)
     shared = classify.share_weights(spark, _sample_weights(size))
-    return _dense(words, classify.loss_pass(rows, shared, classify.logistic_objective().loss))
+    return _dense(words, classify.loss_pass(classify.row_points(found, _label()), shared, classify.logistic_objective().loss))
 
 
 def hinge_step(spark, sf_dir):
     """Cost and gradient of the hinge loss at the sample weights."""
-    words, size = _words(spark, sf_dir)
-    rows = classify.training_rows(_tf(spark, sf_dir, words), _side(), "tf")
+    found, words, size = _tf(spark, sf_dir)
     shared = classify.share_weights(spark, _sample_weights(size))
-    return _dense(words, classify.loss_pass(rows, shared, classify.hinge_objective(1).loss))
+    return _dense(words, classify.loss_pass(classify.row_points(found, _side()), shared, classify.hinge_objective(1).loss))
 
 
 def _class_sizes(rows):
@@ -87,38 +82,37 @@ def _class_sizes(rows):
 
 def weighted_hinge_step(spark, sf_dir):
     """Cost and gradient of the class-weighted hinge loss at its start weights."""
-    words, size = _words(spark, sf_dir)
-    rows = classify.lay_out(classify.training_rows(_tf(spark, sf_dir, words), _side(), "tf"))
+    found, words, size = _tf(spark, sf_dir)
+    rows = classify.lay_out(classify.row_points(found, _side()))
     objective = classify.weighted_hinge_objective(*_class_sizes(rows))
     shared = classify.share_weights(spark, np.full(size, objective.start))
     return _dense(words, classify.loss_pass(rows, shared, objective.loss), 3)
 
 
 def logreg_train(spark, sf_dir):
-    words, size = _words(spark, sf_dir)
-    rows = classify.lay_out(classify.training_rows(_tfidf(spark, sf_dir, words), _label()))
+    found, _, size = _tfidf(spark, sf_dir)
+    rows = classify.lay_out(classify.row_points(found, _label()))
     return classify.train(rows, size, classify.logistic_objective()).weights_table(spark)
 
 
 def svm_train(spark, sf_dir):
-    words, size = _words(spark, sf_dir)
-    rows = classify.lay_out(classify.training_rows(_tf(spark, sf_dir, words), _side(), "tf"))
+    found, _, size = _tf(spark, sf_dir)
+    rows = classify.lay_out(classify.row_points(found, _side()))
     lines = vocab.corpus_count(labelled_documents(spark, sf_dir)).first()["n"]
     return classify.train(rows, size, classify.hinge_objective(lines)).weights_table(spark)
 
 
 def weighted_svm_train(spark, sf_dir):
-    words, size = _words(spark, sf_dir)
-    rows = classify.lay_out(classify.training_rows(_tf(spark, sf_dir, words), _side(), "tf"))
+    found, _, size = _tf(spark, sf_dir)
+    rows = classify.lay_out(classify.row_points(found, _side()))
     objective = classify.weighted_hinge_objective(*_class_sizes(rows))
     return classify.train(rows, size, objective).weights_table(spark)
 
 
 def logreg_lbfgs(spark, sf_dir):
     """Classes that the L-BFGS model, trained on all documents, gives them."""
-    words, size = _words(spark, sf_dir)
-    rows = classify.lay_out(classify.training_rows(_tf(spark, sf_dir, words), _label(), "tf"))
-    points = classify.vector_rows(rows, size)
+    found, _, size = _tf(spark, sf_dir)
+    points = classify.vector_rows(classify.row_points(found, _label()), size)
     return classify.lbfgs_predict(classify.train_lbfgs(points), points)
 
 
@@ -128,9 +122,8 @@ def _sample_table(words):
 
 
 def _logreg_scored(spark, sf_dir):
-    words = materialize(letters_vocabulary(spark, sf_dir))
-    scores = classify.linear_scores(_tfidf(spark, sf_dir, words), _sample_table(words))
-    return classify.logistic_predict(scores).withColumn("label", _label())
+    found, _, size = _tfidf(spark, sf_dir)
+    return classify.logistic_predict(classify.row_scores(found, _sample_weights(size))).withColumn("label", _label())
 
 
 def logreg_score(spark, sf_dir):
@@ -138,8 +131,8 @@ def logreg_score(spark, sf_dir):
 
 
 def svm_score(spark, sf_dir):
-    words = materialize(letters_vocabulary(spark, sf_dir))
-    scores = classify.linear_scores(_tf(spark, sf_dir, words), _sample_table(words), "tf")
+    found, _, size = _tf(spark, sf_dir)
+    scores = classify.row_scores(found, _sample_weights(size))
     return rounded(classify.margin_predict(scores).withColumn("label", _side()), 8, "score")
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from catalog.inputs import documents, labelled_documents, links, table
 from catalog.text import LETTERS_SQL, STRIP_SQL, TRIM_SQL, VOCAB_SQL, letters_vocabulary, post_dictionary, posts
 from lodestat.functions.text import tokens_edge_trim, tokens_letters
-from lodestat.operators import similarity, vectors, vocab
+from lodestat.operators import doc_rows, nearest, similarity, vectors, vocab
 from lodestat.session import materialize, store
 from lodestat.sources.documents import class_label
 
@@ -20,22 +20,35 @@ def n_docs(spark, sf_dir):
     return vocab.corpus_count(table(spark, sf_dir, "documents")).scalar()
 
 
-def letters_terms(spark, sf_dir):
-    return vectors.doc_term_counts(tokens_letters(documents(spark, sf_dir)), letters_vocabulary(spark, sf_dir))
+def letters_rows(spark, sf_dir, docs=None):
+    """Documents as rows of vocabulary terms, kept, and the vocabulary; texts are split once."""
+    counted = doc_rows.word_rows(documents(spark, sf_dir) if docs is None else docs)
+    words = materialize(vocab.vocabulary(doc_rows.word_count(counted)))
+    return store(doc_rows.term_rows(counted, words), "term-rows"), words
 
 
-def post_terms(spark, sf_dir, dictionary=None):
+def post_rows(spark, sf_dir, dictionary=None):
     known = dictionary or post_dictionary(spark, sf_dir)
-    return vectors.doc_term_counts(tokens_edge_trim(posts(spark, sf_dir)), known)
+    return doc_rows.term_rows(doc_rows.word_rows(posts(spark, sf_dir), doc_rows.edge_trimmed, "body"), known)
+
+
+def post_terms(spark, sf_dir, dictionary=None):
+    return doc_rows.counts(post_rows(spark, sf_dir, dictionary))
+
 
+def letters_idf(spark, sf_dir, rows):
+    return vectors.idf(doc_rows.document_frequency(rows), n_docs(spark, sf_dir))
 
-def letters_idf(spark, sf_dir, counts):
-    return vectors.idf(vectors.document_frequency(counts), n_docs(spark, sf_dir))
+
+def letters_vectors(spark, sf_dir, binary=False):
+    """Vector rows, kept, with their vocabulary and IDF."""
+    rows, words = letters_rows(spark, sf_dir)
+    weights = materialize(letters_idf(spark, sf_dir, rows))
+    return store(doc_rows.vector_rows(rows, weights, binary), "vector-rows"), words, weights
 
 
 def letters_tfidf(spark, sf_dir):
-    counts = letters_terms(spark, sf_dir)
-    return vectors.tfidf(vectors.term_frequency(counts), letters_idf(spark, sf_dir, counts))
+    return doc_rows.vectors(letters_vectors(spark, sf_dir)[0])
 
 
 def rounded(df, places=9, *columns):
@@ -44,19 +57,19 @@ def rounded(df, places=9, *columns):
 
 
 def term_frequency(spark, sf_dir):
-    return vectors.term_frequency(letters_terms(spark, sf_dir))
+    return doc_rows.term_frequency(letters_rows(spark, sf_dir)[0])
 
 
 def term_frequency_binary(spark, sf_dir):
-    return vectors.term_frequency_binary(letters_terms(spark, sf_dir))
+    return doc_rows.term_frequency(letters_rows(spark, sf_dir)[0], binary=True)
 
 
 def document_frequency(spark, sf_dir):
-    return vectors.document_frequency(letters_terms(spark, sf_dir))
+    return doc_rows.document_frequency(letters_rows(spark, sf_dir)[0])
 
 
 def idf(spark, sf_dir):
-    return rounded(letters_idf(spark, sf_dir, letters_terms(spark, sf_dir)), 9, "idf")
+    return rounded(letters_idf(spark, sf_dir, letters_rows(spark, sf_dir)[0]), 9, "idf")
 
 
 def idf_guarded(spark, sf_dir):
@@ -82,10 +95,8 @@ def term_sum(spark, sf_dir):
 
 
 def mean_tf_by_class(spark, sf_dir):
-    words = materialize(letters_vocabulary(spark, sf_dir))
-    counts = vectors.doc_term_counts(tokens_letters(labelled_documents(spark, sf_dir)), words)
-    tf = vectors.term_frequency(counts)
-    means = vectors.mean_tf_by_class(tf, words, PROBE_WORDS, class_label(F.col("doc_id")))
+    rows, words = letters_rows(spark, sf_dir, labelled_documents(spark, sf_dir))
+    means = doc_rows.mean_tf_by_class(rows, words, PROBE_WORDS, class_label(F.col("doc_id")))
     return rounded(means, 9, "mean_tf")
 
 
@@ -95,7 +106,7 @@ def doc_term_counts(spark, sf_dir):
 
 def doc_term_map(spark, sf_dir):
     """Maps written as ``position:count`` lists, in order of position."""
-    maps = vectors.doc_term_map(post_terms(spark, sf_dir))
+    maps = doc_rows.term_map(post_rows(spark, sf_dir))
     entries = F.transform(F.map_entries("counts"), lambda e: F.concat_ws(":", e["key"], e["value"]))
     return maps.select("doc_id", F.array_join(entries, ",").alias("counts"), "total")
 
@@ -107,17 +118,17 @@ def doc_top_terms(spark, sf_dir):
 
 
 def category_features(spark, sf_dir):
-    stored = store(letters_tfidf(spark, sf_dir), "vectors")
-    return rounded(similarity.category_features(links(spark, sf_dir), stored), 9, "value")
+    return rounded(similarity.category_features(links(spark, sf_dir), letters_tfidf(spark, sf_dir)), 9, "value")
+
+
+def _asked(spark, sf_dir, cosine):
+    rows, words, weights = letters_vectors(spark, sf_dir, binary=cosine)
+    return rows, similarity.query_vectors(spark, QUERY_TEXTS, words, weights, binary=cosine)
 
 
 def _scores(spark, sf_dir, cosine):
-    words = materialize(letters_vocabulary(spark, sf_dir))
-    counts = vectors.doc_term_counts(tokens_letters(documents(spark, sf_dir)), words)
-    weights = letters_idf(spark, sf_dir, counts)
-    tf = vectors.term_frequency_binary(counts) if cosine else vectors.term_frequency(counts)
-    asked = similarity.query_vectors(spark, QUERY_TEXTS, words, weights, binary=cosine)
-    return similarity.similarity_scores(vectors.tfidf(tf, weights), asked, len(QUERY_TEXTS), cosine)
+    rows, asked = _asked(spark, sf_dir, cosine)
+    return nearest.all_scores(rows, nearest.Queries.of(asked, cosine), cosine)
 
 
 def similarity_scores(spark, sf_dir):
@@ -129,11 +140,13 @@ def similarity_cosine(spark, sf_dir):
 
 
 def knn_predict_dot(spark, sf_dir):
-    return similarity.knn_predict(links(spark, sf_dir), _scores(spark, sf_dir, cosine=False), NEAREST)
+    rows, asked = _asked(spark, sf_dir, cosine=False)
+    return similarity.predict(links(spark, sf_dir), rows, asked, k=NEAREST)
 
 
 def knn_predict_cosine(spark, sf_dir):
-    return similarity.knn_predict(links(spark, sf_dir), _scores(spark, sf_dir, cosine=True), NEAREST)
+    rows, asked = _asked(spark, sf_dir, cosine=True)
+    return similarity.predict(links(spark, sf_dir), rows, asked, k=NEAREST, cosine=True)
 
 
 QUERIES = {

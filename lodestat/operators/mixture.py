@@ -97,6 +97,11 @@ def document_rows(docs: DataFrame, counts: DataFrame) -> DataFrame:
     )
 
 
+def count_rows(rows: DataFrame) -> DataFrame:
+    """``doc_id, idx, cnt`` of document rows ``doc_id, terms, cnts``, which stay where they are."""
+    return rows.select("doc_id", F.col("terms").alias("idx"), F.col("cnts").alias("cnt"))
+
+
 def uniform(seed: int, sweep: int, key: Column) -> Column:
     """A number in [0, 1) fixed by seed, sweep and key: repeating a lost task repeats its draws."""
     bits = F.xxhash64(F.lit(seed), F.lit(sweep), key).bitwiseAND(F.lit(2**53 - 1))
@@ -147,7 +152,7 @@ def _drawer(shared: Broadcast):
         cnt = batch.column("cnt").flatten().to_numpy()
         doc = np.repeat(np.arange(len(u)), np.diff(batch.column("idx").offsets.to_numpy()))
         loglik = np.stack([np.bincount(doc, weights=cnt * row[idx], minlength=len(u)) for row in log_mu], axis=1)
-        loglik += log_pi
+        loglik = loglik + log_pi  # in place fails where a batch has no words and bincount gives integers
         weight = np.exp(loglik - loglik.max(axis=1, keepdims=True))
         steps = np.cumsum(weight, axis=1)
         cluster = (steps <= (u * steps[:, -1])[:, None]).sum(axis=1)

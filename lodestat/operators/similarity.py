@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lodestat.functions.text import tokens_letters
-from lodestat.layout import bounded_broadcast
+from lodestat.operators.doc_rows import folded
+from lodestat.operators.nearest import Queries, all_scores, nearest_links, term_bounds
 from lodestat.operators.vectors import (
     doc_term_counts,
     term_frequency,
@@ -18,12 +19,6 @@ from lodestat.operators.vectors import (
 from lodestat.operators.vocab import VOCABULARY_SIZE
 
 
-def _in_order(product: Column) -> Column:
-    """Sum over a document, added by term id, so that copies of a document tie to the last digit; NULLs are left out."""
-    listed = F.sort_array(F.collect_list(F.when(product.isNotNull(), F.struct("term_id", product.alias("x")))))
-    return F.aggregate(listed, F.lit(0.0), lambda total, entry: total + entry["x"])
-
-
 def query_vectors(
     spark: SparkSession,
     texts: Sequence[str],
@@ -42,12 +37,6 @@ def query_vectors(
     return tfidf(tf, idf_table, size).withColumnRenamed("doc_id", "query_id")
 
 
-def unit_vectors(queries: DataFrame) -> DataFrame:
-    """Scale query vectors to length 1; a zero vector becomes NULL."""
-    norm = F.sqrt(F.sum(F.col("value") * F.col("value")).over(Window.partitionBy("query_id")))
-    return queries.withColumn("value", F.try_divide("value", norm))
-
-
 def similarity_scores(
     vectors: DataFrame,
     queries: DataFrame,
@@ -55,32 +44,13 @@ def similarity_scores(
     cosine: bool = False,
     size: int = VOCABULARY_SIZE,
 ) -> DataFrame:
-    """``query_id, doc_id, score`` of every document with a vector, for every answerable query.
+    """``query_id, doc_id, score`` of every document with a vector, for every answerable query of the first ``n_queries``.
 
-    Query vectors are small and inverted: each term carries one weight per query. A single pass
-    over the document vectors then adds the products, and documents sharing no term keep 0
-    without a join of queries and documents. At most one row per document leaves a task.
+    For long tables, which are folded by document first. Vector rows are scored where they lie, by
+    :func:`lodestat.operators.nearest.all_scores`.
     """
-    if cosine:
-        queries = unit_vectors(queries)
-    ids = [F.lit(q) for q in range(n_queries)]
-    weights = queries.groupBy("term_id").agg(
-        *[F.max(F.when(F.col("query_id") == q, F.col("value"))).alias(f"_q{i}") for i, q in enumerate(ids)]
-    )
-    joined = vectors.join(bounded_broadcast(weights, size, 16 + 8 * n_queries), "term_id", "left")
-    # A term of a query whose vector has no length makes the score NULL, as a division by 0 would.
-    dots = [_in_order(F.col("value") * F.col(f"_q{i}")).alias(f"_s{i}") for i in range(n_queries)]
-    norms = [F.sqrt(_in_order(F.col("value") * F.col("value"))).alias("_norm")] if cosine else []
-    per_doc = joined.groupBy("doc_id").agg(*dots, *norms)
-    scores = [F.col(f"_s{i}") for i in range(n_queries)]
-    if cosine:
-        scores = [F.try_divide(s, F.col("_norm")) for s in scores]
-    long = per_doc.select("doc_id", F.posexplode(F.array(*scores)).alias("query_id", "score"))
-    answerable = queries.groupBy("query_id").agg(F.max("value").alias("_len"))
-    known = F.broadcast(answerable.withColumnRenamed("query_id", "_q"))
-    scored = long.join(known, F.col("query_id") == F.col("_q"))
-    score = F.when(F.col("_len").isNotNull(), F.col("score"))
-    return scored.select("query_id", "doc_id", score.alias("score"))
+    asked = Queries.of(queries.filter(F.col("query_id") < n_queries), cosine)
+    return all_scores(folded(vectors), asked, cosine)
 
 
 def category_features(links: DataFrame, vectors: DataFrame) -> DataFrame:
@@ -107,7 +77,21 @@ def nearest_rows(links: DataFrame, scores: DataFrame, k: int) -> DataFrame:
     return first.join(scores, "doc_id").withColumn("rank", rank).filter(F.col("rank") <= k)
 
 
+def votes(nearest: DataFrame) -> DataFrame:
+    """``query_id, category, votes``: votes among the nearest rows, the most first."""
+    counted = nearest.groupBy("query_id", "category").agg(F.count("*").alias("votes"))
+    return counted.orderBy("query_id", F.desc("votes"), "category")
+
+
 def knn_predict(links: DataFrame, scores: DataFrame, k: int = 10) -> DataFrame:
-    """``query_id, category, votes``: votes among the k nearest rows, the most first."""
-    votes = nearest_rows(links, scores, k).groupBy("query_id", "category").agg(F.count("*").alias("votes"))
-    return votes.orderBy("query_id", F.desc("votes"), "category")
+    """:func:`votes` of the k nearest rows, from given scores of all documents."""
+    return votes(nearest_rows(links, scores, k))
+
+
+def predict(
+    links: DataFrame, rows: DataFrame, queries: DataFrame, bounds: DataFrame | None = None, k: int = 10, cosine: bool = False
+) -> DataFrame:
+    """:func:`votes` of the k nearest rows, from vector rows of all documents: those that can't come near are left out
+    where they lie. ``bounds``: their :func:`lodestat.operators.nearest.term_bounds`, where those are kept."""
+    known = term_bounds(rows, cosine) if bounds is None else bounds
+    return votes(nearest_links(links, rows, Queries.of(queries, cosine), known, k, cosine))

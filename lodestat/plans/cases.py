@@ -11,9 +11,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestat.functions.text import tokens_letters
 from lodestat.layout import spread
-from lodestat.operators import classify, evaluate, vectors, vocab
+from lodestat.operators import classify, doc_rows, evaluate, vectors, vocab
 from lodestat.operators.vocab import VOCABULARY_SIZE
 from lodestat.session import materialize, store
 from lodestat.sources.documents import class_label, parse_lines
@@ -26,34 +25,33 @@ def label(negative: int = 0) -> Column:
 
 @dataclass
 class Corpus:
-    """Words of a file of documents, and its lines, valid or not.
+    """Words of a file of documents, counted in each document's row, and the file's lines, valid or not.
 
-    The file is read and unpacked once, into Parquet; all passes over the words read that.
+    The file is read and unpacked once, into Parquet, and split into words once; all else works on the rows.
     """
 
-    tokens: DataFrame
+    rows: DataFrame
     lines: DataFrame
 
     @classmethod
     def read(cls, spark: SparkSession, path: str) -> Corpus:
         stored = store(parse_lines(read_lines(spark, path)), "documents")
-        return cls(tokens_letters(spread(stored)), stored)
+        return cls(doc_rows.word_rows(spread(stored)), stored)
 
     @property
     def n_lines(self) -> Column:
         return vocab.corpus_count(self.lines).scalar()
 
     def vocabulary(self, size: int = VOCABULARY_SIZE) -> DataFrame:
-        return materialize(vocab.vocabulary(vocab.word_count(self.tokens), size))
+        return materialize(vocab.vocabulary(doc_rows.word_count(self.rows), size))
 
-    def term_frequency(self, words: DataFrame, size: int = VOCABULARY_SIZE) -> DataFrame:
-        """``doc_id, term_id, tf``."""
-        return vectors.term_frequency(vectors.doc_term_counts(self.tokens, words, size))
+    def terms(self, words: DataFrame, size: int = VOCABULARY_SIZE) -> DataFrame:
+        """``doc_id, terms, cnts``, kept."""
+        return store(doc_rows.term_rows(self.rows, words, size), "case-terms")
 
-    def idf(self, words: DataFrame, size: int = VOCABULARY_SIZE) -> DataFrame:
+    def idf(self, words: DataFrame, terms: DataFrame) -> DataFrame:
         """IDF of every vocabulary position in this corpus, 0 where it lacks the word."""
-        counts = vectors.doc_term_counts(self.tokens, words, size)
-        return vectors.idf_guarded(words, vectors.document_frequency(counts), self.n_lines)
+        return vectors.idf_guarded(words, doc_rows.document_frequency(terms), self.n_lines)
 
 
 @dataclass
@@ -78,7 +76,7 @@ def mean_tf(spark: SparkSession, path: str, words: Sequence[str], size: int = VO
     """Mean term frequency of words in both classes."""
     corpus = Corpus.read(spark, path)
     known = corpus.vocabulary(size)
-    return vectors.mean_tf_by_class(corpus.term_frequency(known, size), known, words, label(), size)
+    return doc_rows.mean_tf_by_class(corpus.terms(known, size), known, words, label())
 
 
 def logistic(
@@ -96,12 +94,12 @@ def logistic(
     """
     train, test = Corpus.read(spark, train_path), Corpus.read(spark, test_path)
     words = train.vocabulary(size)
-    weighted = vectors.tfidf(train.term_frequency(words, size), train.idf(words, size), size)
-    rows = classify.lay_out(classify.training_rows(weighted, label()))
+    terms, tested = train.terms(words, size), test.terms(words, size)
+    idf = train.idf(words, terms)
+    rows = classify.lay_out(classify.row_points(doc_rows.vector_rows(terms, idf), label()))
     model = classify.train(rows, words.count(), classify.logistic_objective(), max_iter)
-    source = {"test": test, "train": train}[idf_from]
-    tested = vectors.tfidf(test.term_frequency(words, size), source.idf(words, size), size)
-    scores = classify.linear_scores(tested, model.weights_table(spark), size=size)
+    known = {"test": lambda: test.idf(words, tested), "train": lambda: idf}[idf_from]()
+    scores = classify.row_scores(doc_rows.vector_rows(tested, known), model.weights)
     return Evaluation(model, words, store(classify.logistic_predict(scores).withColumn("label", label()), "scored"))
 
 
@@ -114,8 +112,8 @@ def lbfgs(
     width = words.count()
 
     def points(corpus: Corpus) -> DataFrame:
-        rows = classify.training_rows(corpus.term_frequency(words, size), label(), "tf")
-        return classify.vector_rows(classify.lay_out(rows), width)
+        rows = doc_rows.frequency_rows(doc_rows.term_rows(corpus.rows, words, size))
+        return classify.vector_rows(classify.row_points(rows, label()), width)
 
     model = classify.train_lbfgs(points(train), max_iter)
     return Evaluation(model, words, store(classify.lbfgs_predict(model, points(test)), "scored"))
@@ -132,12 +130,14 @@ def svm(
     """Linear SVM on term frequencies; with ``weighted`` each class counts by the size of the other."""
     train, test = Corpus.read(spark, train_path), Corpus.read(spark, test_path)
     words = train.vocabulary(size)
-    rows = classify.lay_out(classify.training_rows(train.term_frequency(words, size), label(-1), "tf"))
+    found = doc_rows.frequency_rows(doc_rows.term_rows(train.rows, words, size))
+    rows = classify.lay_out(classify.row_points(found, label(-1)))
     if weighted:
         sizes = {r["label"]: r["n"] for r in evaluate.class_counts(rows).collect()}
         objective = classify.weighted_hinge_objective(sizes.get(-1.0, 0), sizes.get(1.0, 0))
     else:
         objective = classify.hinge_objective(train.lines.count())
     model = classify.train(rows, words.count(), objective, max_iter)
-    scores = classify.linear_scores(test.term_frequency(words, size), model.weights_table(spark), "tf", size)
+    tested = doc_rows.frequency_rows(doc_rows.term_rows(test.rows, words, size))
+    scores = classify.row_scores(tested, model.weights)
     return Evaluation(model, words, store(classify.margin_predict(scores).withColumn("label", label(-1)), "scored"))

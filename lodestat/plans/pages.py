@@ -9,16 +9,15 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestat.functions.text import tokens_letters
 from lodestat.layout import spread
-from lodestat.operators import similarity, vectors, vocab
+from lodestat.operators import doc_rows, nearest, similarity, vectors, vocab
 from lodestat.operators.vocab import VOCABULARY_SIZE
 from lodestat.session import materialize, store
 from lodestat.sources.documents import parse_lines, parse_links
 from lodestat.sources.files import read_lines
 
 
-# Texts answered in one pass over the vectors; each adds one sum per document.
+# Texts answered in one pass over the pages: the tasks hold a weight per text for every word that any of them asks for.
 TEXTS_PER_PASS = 50
 
 
@@ -26,15 +25,15 @@ TEXTS_PER_PASS = 50
 class PageIndex:
     """Vocabulary, IDF and document vectors, each computed once and kept.
 
-    The text files are read and unpacked once, into Parquet; the two passes over the words read that.
-
-    The rows of a vector lie together in the stored files, so a prediction adds them up in place
-    and shuffles one row per document.
+    The text files are read and unpacked once, into Parquet, and split into words once; the vocabulary comes from the counted
+    words of each page, and so do the vectors. ``rows`` holds one row per page, in which predictions score it; ``bounds`` the
+    greatest value at each term, by which they leave pages out.
     """
 
     vocab: DataFrame
     idf: DataFrame
-    vectors: DataFrame
+    rows: DataFrame
+    bounds: DataFrame
     links: DataFrame
     cosine: bool
     size: int
@@ -50,34 +49,42 @@ class PageIndex:
     ) -> PageIndex:
         stored = store(parse_lines(read_lines(spark, pages_path)), "pages")
         n_lines = vocab.corpus_count(stored).scalar()
-        tokens = tokens_letters(spread(stored))
-        words = materialize(vocab.vocabulary(vocab.word_count(tokens), size))
-        counts = vectors.doc_term_counts(tokens, words, size)
-        idf = vectors.idf(vectors.document_frequency(counts), n_lines)
-        tf = vectors.term_frequency_binary(counts) if cosine else vectors.term_frequency(counts)
-        weighted = store(vectors.tfidf(tf, idf, size), "vectors")
-        # The kept vectors hold one row per document of a term, so the IDF is had without the texts.
-        kept_idf = materialize(vectors.idf(weighted.groupBy("term_id").agg(F.count("*").alias("df")), n_lines))
+        counted = doc_rows.word_rows(spread(stored))
+        words = materialize(vocab.vocabulary(doc_rows.word_count(counted), size))
+        terms = store(doc_rows.term_rows(counted, words, size), "page-terms")
+        idf = materialize(vectors.idf(doc_rows.document_frequency(terms), n_lines))
+        rows = store(doc_rows.vector_rows(terms, idf, cosine), "page-vectors")
+        bounds = materialize(nearest.term_bounds(rows, cosine))
         links = store(parse_links(read_lines(spark, links_path)), "links")
-        return cls(words, kept_idf, weighted, links, cosine, size)
+        return cls(words, idf, rows, bounds, links, cosine, size)
+
+    @property
+    def vectors(self) -> DataFrame:
+        """``doc_id, term_id, value``."""
+        return doc_rows.vectors(self.rows)
 
     def features(self) -> DataFrame:
         """``category, doc_id, term_id, value``: the vectors by category."""
         return similarity.category_features(self.links, self.vectors)
 
-    def scores(self, texts: Sequence[str]) -> DataFrame:
-        """``query_id, doc_id, score`` of every page."""
+    def _passes(self, texts: Sequence[str]) -> list[nearest.Queries]:
         if not texts:
             raise ValueError("no texts to score")
-        passes = [self._scores(texts[i : i + TEXTS_PER_PASS], i) for i in range(0, len(texts), TEXTS_PER_PASS)]
-        return reduce(DataFrame.unionByName, passes)
+        spark, passes = self.vocab.sparkSession, []
+        for first in range(0, len(texts), TEXTS_PER_PASS):
+            some = texts[first : first + TEXTS_PER_PASS]
+            asked = similarity.query_vectors(spark, some, self.vocab, self.idf, self.cosine, self.size)
+            passes.append(nearest.Queries.of(asked.withColumn("query_id", F.col("query_id") + first), self.cosine))
+        return passes
 
-    def _scores(self, texts: Sequence[str], first: int) -> DataFrame:
-        spark = self.vocab.sparkSession
-        asked = similarity.query_vectors(spark, texts, self.vocab, self.idf, self.cosine, self.size)
-        scored = similarity.similarity_scores(self.vectors, asked, len(texts), self.cosine, self.size)
-        return scored.withColumn("query_id", F.col("query_id") + first)
+    def scores(self, texts: Sequence[str]) -> DataFrame:
+        """``query_id, doc_id, score`` of every page."""
+        parts = [nearest.all_scores(self.rows, asked, self.cosine) for asked in self._passes(texts)]
+        return reduce(DataFrame.unionByName, parts)
 
     def predict(self, texts: Sequence[str], k: int = 10) -> DataFrame:
         """``query_id, category, votes`` for a batch of texts."""
-        return similarity.knn_predict(self.links, self.scores(texts), k)
+        found = [
+            nearest.nearest_links(self.links, self.rows, asked, self.bounds, k, self.cosine) for asked in self._passes(texts)
+        ]
+        return similarity.votes(reduce(DataFrame.unionByName, found))

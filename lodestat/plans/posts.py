@@ -7,9 +7,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestat.functions.text import tokens_edge_trim, tokens_strip
+from lodestat.functions.text import tokens_strip
 from lodestat.layout import spread
-from lodestat.operators import clusters, mixture, vectors, vocab
+from lodestat.operators import clusters, doc_rows, mixture, vectors, vocab
 from lodestat.operators.vocab import VOCABULARY_SIZE
 from lodestat.session import materialize, store
 from lodestat.sources.documents import parse_posts
@@ -27,7 +27,7 @@ class PostCorpus:
 
     posts: DataFrame
     vocab: DataFrame
-    counts: DataFrame
+    rows: DataFrame
     size: int
 
     @classmethod
@@ -39,15 +39,21 @@ class PostCorpus:
         )
         posts = spread(store(parsed, "posts"))
         words = materialize(vocab.vocabulary(vocab.word_count(tokens_strip(posts)), size))
-        counts = store(vectors.doc_term_counts(tokens_edge_trim(posts), words, size), "post-counts")
-        return cls(posts, words, counts, size)
+        counted = doc_rows.word_rows(posts, doc_rows.edge_trimmed, "body")
+        rows = store(doc_rows.term_rows(counted, words, size, keep_empty=True), "post-terms")
+        return cls(posts, words, rows, size)
+
+    @property
+    def counts(self) -> DataFrame:
+        """``doc_id, term_id, cnt``."""
+        return doc_rows.counts(self.rows)
 
     def top_terms(self, part_of_id: str, n: int = 100) -> DataFrame:
         """Counts of the n most common dictionary words in the post whose id contains the text."""
         return vectors.doc_top_terms(self.counts, self.vocab, F.col("doc_id").contains(part_of_id), n)
 
     def term_maps(self) -> DataFrame:
-        return vectors.doc_term_map(self.counts)
+        return doc_rows.term_map(self.rows.filter(F.size("terms") > 0))
 
 
 @dataclass
@@ -81,6 +87,6 @@ def cluster_posts(
     beta: float = mixture.BETA,
 ) -> Clustering:
     corpus = PostCorpus.read(spark, path, size)
-    rows = mixture.document_rows(corpus.posts, corpus.counts)
+    rows = mixture.count_rows(corpus.rows)
     found = mixture.mixture_gibbs(rows, corpus.vocab.count(), k, alpha, beta, sweeps, seed)
     return Clustering(corpus, found)
