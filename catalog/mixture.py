@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from catalog.text import post_dictionary, posts
 from catalog.vectors import POST_TERMS_SQL, post_terms, rounded
-from lodestat.operators import clusters, mixture
+from lodestat.operators import clusters, doc_rows, mixture
 from lodestat.operators.vocab import VOCABULARY_SIZE
 from lodestat.session import materialize, store
 
@@ -65,11 +65,36 @@ def mixture_top_words(spark, sf_dir):
     return rounded(mixture.mixture_top_words(log_mu, words, 50), 8, "log_mu")
 
 
+def _rows(spark, sf_dir, words):
+    """All posts as rows of counts."""
+    counted = doc_rows.word_rows(posts(spark, sf_dir), doc_rows.edge_trimmed, "body")
+    return mixture.count_rows(doc_rows.term_rows(counted, words, keep_empty=True))
+
+
 def mixture_gibbs(spark, sf_dir):
     """Clusters of all posts after all sweeps."""
     words = materialize(post_dictionary(spark, sf_dir))
-    rows = mixture.document_rows(posts(spark, sf_dir), post_terms(spark, sf_dir, words))
-    return mixture.mixture_gibbs(rows, words.count(), K, sweeps=SWEEPS, seed=SEED).assigned
+    return mixture.mixture_gibbs(_rows(spark, sf_dir, words), words.count(), K, sweeps=SWEEPS, seed=SEED).assigned
+
+
+def _sweep(spark, sf_dir):
+    """Posts and shared parameters of one sweep: those that the fixed clusters imply."""
+    words = materialize(post_dictionary(spark, sf_dir))
+    rows = store(_rows(spark, sf_dir, words), "post-rows")
+    long = rows.select("doc_id", F.inline(F.arrays_zip("idx", "cnt")).alias("term_id", "cnt"))
+    log_mu = mixture.smoothed_mu(_term_counts(spark, sf_dir, words, long))
+    log_pi = mixture.smoothed_pi(cluster_doc_counts(spark, sf_dir))
+    return rows, mixture.share_parameters(spark, mixture.parameters_of(log_pi, log_mu, K, words.count()))
+
+
+def mixture_sweep_assigned(spark, sf_dir):
+    """Clusters that one sweep draws for all posts."""
+    return mixture.assign(*_sweep(spark, sf_dir), SEED, 0)
+
+
+def mixture_sweep_counts(spark, sf_dir):
+    """Words per cluster and term after that sweep, and posts per cluster (term -1)."""
+    return mixture.sweep_counts(*_sweep(spark, sf_dir), SEED, 0)
 
 
 QUERIES = {
@@ -80,6 +105,8 @@ QUERIES = {
     "cluster_top_categories": cluster_top_categories,
     "mixture_top_words": mixture_top_words,
     "mixture_gibbs": mixture_gibbs,
+    "mixture_sweep_assigned": mixture_sweep_assigned,
+    "mixture_sweep_counts": mixture_sweep_counts,
 }
 
 ASSIGNED_SQL = """
@@ -101,8 +128,23 @@ mu AS (SELECT cluster, term_id, ln((cnt + 0.1::DOUBLE)
 pi AS (SELECT cluster, ln((count(*) + 0.1::DOUBLE) / ((SELECT count(*) FROM assigned) + 20 * 0.1::DOUBLE)) AS log_pi
   FROM assigned GROUP BY cluster)
 """
+# One draw per post: the first 52 bits of an MD5 of seed, sweep and id, against the running sum of weights.
+SWEEP_SQL = f"""{PARAMETERS_SQL},
+sums AS (SELECT doc_id, cluster, sum(cnt * log_mu) AS ll FROM counts JOIN mu USING (term_id) GROUP BY doc_id, cluster),
+logp AS (SELECT a.doc_id, pi.cluster, log_pi + coalesce(ll, 0) AS s FROM assigned a CROSS JOIN pi
+  LEFT JOIN sums ON sums.doc_id = a.doc_id AND sums.cluster = pi.cluster),
+weights AS (SELECT doc_id, cluster, exp(s - max(s) OVER (PARTITION BY doc_id)) AS weight FROM logp),
+steps AS (SELECT doc_id, sum(weight) OVER (PARTITION BY doc_id ORDER BY cluster) AS step,
+  sum(weight) OVER (PARTITION BY doc_id)
+  * (('0x' || substr(md5('{SEED}:0:' || doc_id), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE) AS mark FROM weights),
+drawn AS (SELECT doc_id, CAST(least(count(*) FILTER (step <= mark), {K - 1}) AS INTEGER) AS cluster FROM steps GROUP BY doc_id)
+"""
 
 ORACLES = {
+    "mixture_sweep_assigned": f"WITH {SWEEP_SQL} SELECT doc_id, cluster FROM drawn",
+    "mixture_sweep_counts": f"""WITH {SWEEP_SQL}
+        SELECT cluster, term_id, CAST(sum(cnt) AS BIGINT) AS cnt FROM counts JOIN drawn USING (doc_id) GROUP BY cluster, term_id
+        UNION ALL SELECT cluster, -1, count(*) FROM drawn GROUP BY cluster""",
     "mixture_posterior": f"""WITH {PARAMETERS_SQL},
         sums AS (SELECT doc_id, cluster, sum(cnt * log_mu) AS ll FROM counts JOIN mu USING (term_id)
           GROUP BY doc_id, cluster),

@@ -21,10 +21,10 @@ def n_docs(spark, sf_dir):
 
 
 def letters_rows(spark, sf_dir, docs=None):
-    """Documents as rows of vocabulary terms, kept, and the vocabulary; texts are split once."""
+    """Documents as rows of vocabulary terms, and the vocabulary; texts are split once."""
     counted = doc_rows.word_rows(documents(spark, sf_dir) if docs is None else docs)
     words = materialize(vocab.vocabulary(doc_rows.word_count(counted)))
-    return store(doc_rows.term_rows(counted, words), "term-rows"), words
+    return doc_rows.term_rows(counted, words), words
 
 
 def post_rows(spark, sf_dir, dictionary=None):
@@ -43,6 +43,7 @@ def letters_idf(spark, sf_dir, rows):
 def letters_vectors(spark, sf_dir, binary=False):
     """Vector rows, kept, with their vocabulary and IDF."""
     rows, words = letters_rows(spark, sf_dir)
+    rows = store(rows, "term-rows")
     weights = materialize(letters_idf(spark, sf_dir, rows))
     return store(doc_rows.vector_rows(rows, weights, binary), "vector-rows"), words, weights
 

@@ -92,11 +92,11 @@ def _counted(rows: DataFrame) -> DataFrame:
 
 def _merged(rows: DataFrame) -> DataFrame:
     """``doc_id, words, cnts`` with one row per id. Ids are counted without the words; rows of repeated ids alone are merged."""
-    repeated = store(rows.groupBy("doc_id").agg(F.count("*").alias("_n")).filter("_n > 1").select("doc_id"), "repeated-ids")
+    repeated = rows.groupBy("doc_id").agg(F.count("*").alias("_n")).filter("_n > 1").select("doc_id")
     n = repeated.count()
     if not n:
         return rows
-    known = bounded_broadcast(repeated, n)
+    known = bounded_broadcast(store(repeated, "repeated-ids"), n)
     parts = rows.join(known, "doc_id", "left_semi").select("doc_id", F.inline(F.arrays_zip("words", "cnts")))
     summed = parts.groupBy("doc_id", "words").agg(F.sum("cnts").alias("cnts"))
     inside = F.sort_array(F.collect_list(F.struct("words", "cnts")))

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 from lodestat.layout import bounded_broadcast, gathered
+from lodestat.operators import slices
 from lodestat.operators.vocab import VOCABULARY_SIZE
 from lodestat.session import store
 
@@ -103,9 +104,12 @@ def count_rows(rows: DataFrame) -> DataFrame:
 
 
 def uniform(seed: int, sweep: int, key: Column) -> Column:
-    """A number in [0, 1) fixed by seed, sweep and key: repeating a lost task repeats its draws."""
-    bits = F.xxhash64(F.lit(seed), F.lit(sweep), key).bitwiseAND(F.lit(2**53 - 1))
-    return bits.cast("double") / float(2**53)
+    """A number in [0, 1) fixed by seed, sweep and key: repeating a lost task repeats its draws.
+
+    The first 52 bits of an MD5, so that other engines can draw the same.
+    """
+    text = F.concat_ws(":", F.lit(str(seed)), F.lit(str(sweep)), key.cast("string"))
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 13), 16, 10).cast("double") / float(2**52)
 
 
 @dataclass
@@ -136,6 +140,15 @@ def draw_parameters(
     return MixtureParameters(log_pi, log_mu)
 
 
+def parameters_of(log_pi: DataFrame, log_mu: DataFrame, k: int, size: int) -> MixtureParameters:
+    """Parameters from the tables of :func:`smoothed_pi` and :func:`smoothed_mu`, as the sampler takes them."""
+    pi, mu = log_pi.toPandas(), log_mu.toPandas()
+    found = MixtureParameters(np.full(k, -np.inf), np.full((k, size), -np.inf))
+    found.log_pi[pi["cluster"].to_numpy()] = pi["log_pi"].to_numpy()
+    found.log_mu[mu["cluster"].to_numpy(), mu["term_id"].to_numpy()] = mu["log_mu"].to_numpy()
+    return found
+
+
 def share_parameters(spark: SparkSession, params: MixtureParameters) -> Broadcast:
     return spark.sparkContext.broadcast((params.log_pi, params.log_mu))
 
@@ -165,36 +178,38 @@ def _with_uniform(rows: DataFrame, seed: int, sweep: int, *columns: str) -> Data
     return rows.select(*columns, "idx", "cnt", uniform(seed, sweep, F.col("doc_id")).alias("u"))
 
 
-def sweep_counts(rows: DataFrame, shared: Broadcast, seed: int, sweep: int) -> DataFrame:
-    """Draw a cluster for every document and return ``cluster, term_id, cnt``.
-
-    Documents per cluster come under ``DOCS_ROW``. Tasks add up their own documents, so only
-    counts are shuffled.
-    """
-    draw, docs_row = _drawer(shared), DOCS_ROW
+def _sweep_slices(rows: DataFrame, shared: Broadcast, seed: int, sweep: int) -> DataFrame:
+    """Packed slices per task: documents per cluster, then words by cluster and term."""
+    draw = _drawer(shared)
 
     def add_up(batches):
         import numpy as np
-        import pyarrow as pa
 
         k, size = shared.value[1].shape
-        docs, terms = np.zeros(k, dtype="int64"), np.zeros(k * size)
+        total = np.zeros(k + k * size)
         for batch in batches:
             cluster, doc, idx, cnt = draw(batch)
-            docs += np.bincount(cluster, minlength=k)
-            terms += np.bincount(cluster[doc] * size + idx, weights=cnt, minlength=k * size)
-        used = np.flatnonzero(terms)
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(np.concatenate([used // size, np.arange(k)]).astype("int32")),
-                pa.array(np.concatenate([used % size, np.full(k, docs_row)]).astype("int32")),
-                pa.array(np.concatenate([terms[used].astype("int64"), docs])),
-            ],
-            names=["cluster", "term_id", "cnt"],
-        )
+            total[:k] += np.bincount(cluster, minlength=k)
+            total[k:] += np.bincount(cluster[doc] * size + idx, weights=cnt, minlength=k * size)
+        yield from slices.packed(total)
+
+    return _with_uniform(rows, seed, sweep).mapInArrow(add_up, slices.SCHEMA)
 
-    parts = _with_uniform(rows, seed, sweep).mapInArrow(add_up, "cluster int, term_id int, cnt bigint")
-    return parts.groupBy("cluster", "term_id").agg(F.sum("cnt").alias("cnt"))
+
+def sweep_counts(rows: DataFrame, shared: Broadcast, seed: int, sweep: int) -> DataFrame:
+    """Draw a cluster for every document and return ``cluster, term_id, cnt`` where there are any.
+
+    Documents per cluster come under ``DOCS_ROW``. Tasks add up their own documents, so only
+    packed slices of counts are shuffled.
+    """
+    k, size = shared.value[1].shape
+    found = slices.entries(_sweep_slices(rows, shared, seed, sweep))
+    docs, place = F.col("place") < k, F.col("place") - k
+    return found.select(
+        F.when(docs, F.col("place")).otherwise((place - place % size) / size).cast("int").alias("cluster"),
+        F.when(docs, DOCS_ROW).otherwise(place % size).cast("int").alias("term_id"),
+        F.col("total").cast("bigint").alias("cnt"),
+    )
 
 
 def assign(rows: DataFrame, shared: Broadcast, seed: int, sweep: int) -> DataFrame:
@@ -255,13 +270,8 @@ def mixture_gibbs(
             if shared is not None:
                 shared.destroy()
             shared = share_parameters(rows.sparkSession, params)
-            table = sweep_counts(gathered(cached), shared, seed, sweep).toArrow()
-            cluster, term, cnt = (table[c].to_numpy() for c in ("cluster", "term_id", "cnt"))
-            docs, terms = np.zeros(k), np.zeros((k, size))
-            inside = term != DOCS_ROW
-            docs[cluster[~inside]] = cnt[~inside]
-            terms[cluster[inside], term[inside]] = cnt[inside]
-            params = draw_parameters(docs, terms, seed, sweep, alpha, beta)
+            total = slices.vector(_sweep_slices(gathered(cached), shared, seed, sweep), k + k * size)
+            params = draw_parameters(total[:k], total[k:].reshape(k, size), seed, sweep, alpha, beta)
     finally:
         cached.unpersist()
     # stored, so that every report sees one assignment

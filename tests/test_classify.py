@@ -1,8 +1,10 @@
+import random
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lodestat.operators import classify, evaluate
+from lodestat.operators import classify, evaluate, slices
 from lodestat.plans import cases
 from lodestat.sources.documents import class_label
 
@@ -157,3 +159,55 @@ def test_svm_jobs(spark, corpora, weighted):
 def test_mean_tf_job(spark, corpora):
     rows = {(r["class"], r["word"]): r["mean_tf"] for r in cases.mean_tf(spark, corpora[0], ["court", "river"]).collect()}
     assert rows[1, "court"] > rows[0, "court"] and rows[0, "river"] > rows[1, "river"]
+
+
+def noisy_rows(spark, n=80, seed=12):
+    """Rows that no weights separate: equal documents with different labels."""
+    draw = random.Random(seed)
+    rows = []
+    for k in range(n):
+        counts = [draw.randint(0, 4) for _ in range(4)]
+        used = [j for j, c in enumerate(counts) if c] or [0]
+        vals = [counts[j] / max(1, sum(counts)) for j in used]
+        rows += [(2 * k, draw.random() < 0.3 + 0.4 * (used[0] == 0), used, vals), (2 * k + 1, k % 2 == 0, used, vals)]
+    rows = [(d, float(y), i, v) for d, y, i, v in rows]
+    return rows, spark.createDataFrame(rows, "doc_id long, label double, idx array<int>, val array<double>")
+
+
+def test_lbfgs_reaches_the_optimum(spark):
+    rows, df = noisy_rows(spark)
+    x, y = np.zeros((len(rows), 4)), np.array([r[1] for r in rows])
+    for k, (_, _, idx, val) in enumerate(rows):
+        x[k, idx] = val
+    w = np.zeros(4)
+    for _ in range(50):  # Newton
+        p = 1 / (1 + np.exp(-x @ w))
+        w -= np.linalg.lstsq((x * (p * (1 - p))[:, None]).T @ x, x.T @ (p - y), rcond=None)[0]
+    theta = x @ w
+    best = float((np.logaddexp(0, theta) - y * theta).sum())
+    model = classify.train_lbfgs(classify.vector_rows(df, 4))
+    found = classify.certificate(df, model.coefficients.toArray()).first()
+    assert found["optimal"] and found["n"] == len(rows) and found["cost"] == pytest.approx(best, rel=1e-5)
+    assert not classify.certificate(df, np.zeros(4)).first()["optimal"]
+    assert not classify.certificate(df, w + 0.5).first()["optimal"]
+    predicted = classify.lbfgs_predict(model, classify.vector_rows(df, 4)).collect()
+    assert {r["doc_id"]: r["predicted"] for r in predicted} == {d: int(t > 0) for (d, *_), t in zip(rows, theta)}
+    assert any(r["label"] != r["predicted"] for r in predicted)  # one that returned the label would fail
+
+
+def test_slices_add_up_like_vectors(spark):
+    size, parts = 3 * slices.SLICE + 5, 7
+    draws = [np.where(np.random.default_rng(k).random(size) < 0.01, k + 1.0, 0.0) for k in range(parts)]
+    draws[0][-1] = 2.5
+
+    def emit(batches):
+        for batch in batches:
+            for k in batch.column("id").to_pylist():
+                yield from slices.packed(draws[k])
+
+    packed = spark.range(0, parts, 1, parts).mapInArrow(emit, slices.SCHEMA)
+    assert slices.vector(packed, size).tolist() == sum(draws).tolist()
+    assert {r["place"]: r["total"] for r in slices.entries(packed).collect()} == {
+        k: v for k, v in enumerate(sum(draws).tolist()) if v
+    }
+    assert packed.count() < parts * 4 + 1 and not slices.vector(packed.limit(0), size).any()

@@ -11,7 +11,7 @@ from check import connect, differences
 SF_DIR = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="test tables are not here")
 
-ITERATIVE = {"logreg_train", "svm_train", "weighted_svm_train", "mixture_gibbs"}
+ITERATIVE = {"mixture_gibbs"}
 
 
 @pytest.fixture(scope="module")
