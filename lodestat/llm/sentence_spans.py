@@ -15,12 +15,16 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
+from lodestat.llm.pieces import portions
 from lodestat.llm.rows import table, unused
 from lodestat.session import store
 
@@ -73,31 +77,39 @@ def runs(found) -> list[tuple[int, int, int]]:
     return out
 
 
-_KIND = pa.list_(pa.struct([(n, pa.int32() if n != "hash" else pa.int64()) for n in ("hash", "first", "last", "start", "end")]))
+FIELDS = {"hash": "q", "first": "i", "last": "i", "start": "i", "end": "i"}
+SPAN = StructType([StructField(n, LongType() if k == "q" else IntegerType()) for n, k in FIELDS.items()])
+PORTION = 1 << 20  # characters of texts worked on at a time
 
 
 def _find(batches):
+    """Sentences and runs of a portion of texts at a time, in flat arrays: objects would take many times a text's room."""
     for batch in batches:
         *kept, texts = batch.columns
-        counts, spans = [], []
-        for text in texts.to_pylist():
-            found = sentences(text)
-            counts.append(len(found))
-            spans.append([
-                {"hash": h, "first": i, "last": j, "start": found[i][0], "end": found[j][1]} for h, i, j in runs(found)
-            ])
-        yield pa.RecordBatch.from_arrays(
-            [*kept, pa.array(counts, pa.int64()), pa.array(spans, _KIND)], names=[*batch.schema.names[:-1], "n_sentences", "spans"]
-        )
+        done = 0
+        for part in portions((text.as_py() for text in texts), PORTION):
+            columns, counts, ends = [array(k) for k in FIELDS.values()], array("q"), array("i", [0])
+            for text in part:
+                found = sentences(text)
+                counts.append(len(found))
+                for h, first, last in runs(found):
+                    for column, value in zip(columns, (h, first, last, found[first][0], found[last][1])):
+                        column.append(value)
+                ends.append(len(columns[0]))
+            spans = pa.StructArray.from_arrays([pa.array(np.asarray(c)) for c in columns], list(FIELDS))
+            lists = pa.ListArray.from_arrays(pa.array(np.asarray(ends)), spans)
+            yield pa.RecordBatch.from_arrays(
+                [*(c.slice(done, len(part)) for c in kept), pa.array(np.asarray(counts)), lists],
+                names=[*batch.schema.names[:-1], "n_sentences", "spans"],
+            )
+            done += len(part)
 
 
 def _removed(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Rows ``uid, doc_id, n_sentences`` and, by row, ``uid, places, ranges``: sentences and spans to remove."""
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    schema = (
-        f"uid long, doc_id {kind}, n_sentences long, "
-        "spans array<struct<hash:long,first:int,last:int,start:int,end:int>>"
-    )
+    schema = StructType([
+        StructField("uid", LongType()), docs.schema["doc_id"], StructField("n_sentences", LongType()), StructField("spans", ArrayType(SPAN)),
+    ])
     rows = store(docs.select("uid", "doc_id", F.coalesce("text", F.lit("")).alias("text")).mapInArrow(_find, schema), "span-runs")
     spans = rows.select("uid", "doc_id", F.explode("spans").alias("span")).select(
         F.col("span.hash").alias("hash"), F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "uid", "span.first").alias("at"),
@@ -149,12 +161,16 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 def _cut(batches):
     for batch in batches:
         *kept, texts, ranges = batch.columns
-        out = []
-        for text, spans in zip(texts.to_pylist(), ranges.to_pylist()):
-            for span in reversed(spans or []):
-                text = text[: span["start"]] + text[span["end"] :]
-            out.append(text)
-        yield pa.RecordBatch.from_arrays([*kept, pa.array(out, pa.string())], names=batch.schema.names[:-1])
+        done = 0
+        for part in portions((text.as_py() for text in texts), PORTION):
+            out = []
+            for text, spans in zip(part, ranges.slice(done, len(part)).to_pylist()):
+                for span in reversed(spans or []):
+                    text = text[: span["start"]] + text[span["end"] :]
+                out.append(text)
+            columns = [*(c.slice(done, len(part)) for c in kept), pa.array(out, pa.string())]
+            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names[:-1])
+            done += len(part)
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -166,8 +182,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     removed = removed.select(F.col("uid").alias(uid), _merged(F.col("ranges")).alias(spans))
     others = [c for c in docs.columns if c != text_col]
     rows = kept.join(removed, uid, "left").select(*others, F.col(text_col).cast("string"), spans)
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != spans)
-    return rows.mapInArrow(_cut, kinds)
+    return rows.mapInArrow(_cut, StructType([f for f in rows.schema if f.name != spans]))
 
 
 def op5_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
