@@ -40,5 +40,6 @@ ORACLES = {
     "op7_url_filters": url_filters.OP7_SQL,
     "op8_exact_dedup": exact_dedup.OP8_SQL,
     "op9_winnowing": decontaminate.OP9_SQL,
+    "op12_survivor_repair": conversation_repair.OP12_SQL,
     "op13_ternary_trie": prefix_trie.OP13_SQL,
 }

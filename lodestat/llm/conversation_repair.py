@@ -313,3 +313,75 @@ def op12_survivor_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The audit of every conversation after damage; one whose rows are all dropped has zeros."""
     rows = _marked(table(spark, sf_dir, "conversations"), "conv_id", "turn", "role", "text")
     return _audited(_damaged(rows))
+
+
+# The checksum of the damage, bit by bit; 3988292384 is the polynomial.
+_CRC = """xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(
+    coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''), lambda c: ascii(c)::BIGINT)),
+  lambda sum, byte: list_reduce([xor(sum, byte), 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda bits, none: xor(bits >> 1, (bits & 1) * 3988292384))), 4294967295)"""
+
+
+def _way(state: str, cost: str, edit: str, row: str | None = None, when: str = "true") -> str:
+    """A way on from ``state``: its cost, its edits as letters, and the rows it leaves."""
+    left = f"list_append({state}.o, {row})" if row else f"{state}.o"
+    return f"CASE WHEN {when} AND {state}.c IS NOT NULL THEN {{'c': {state}.c + {cost}, 'e': {state}.e || '{edit}', 'o': {left}}} END"
+
+
+def _best(*ways: str) -> str:
+    return f"list_sort(list_filter([{', '.join(ways)}], lambda w: w.c IS NOT NULL))[1]"
+
+
+def _inserted(state: str, said: str) -> str:
+    return _way(state, "2", INSERT, f"'{said}:'")
+
+
+def _stepped(state: int) -> str:
+    """The cheapest way to ``state`` with one more row, which is ``letter, role, text, dropped, cut``."""
+    ways = [_way(f"s{state}", "3", DELETE)]
+    for before, after in enumerate(KEPT):
+        for letter, to in after.items():
+            if to == state:
+                ways.append(_way(f"s{before}", "cut", KEEP, "role || ':' || text", f"NOT dropped AND letter = '{letter}'"))
+        if SPOKEN[before] == state:
+            ways.append(_way(f"s{before}", "2 + cut", REROLE, f"'{NAMES[state]}:' || text", "NOT dropped"))
+    return f"{_best(*ways)} AS n{state}"
+
+
+OP12_SQL = rf"""
+WITH RECURSIVE hurt AS (
+  SELECT conv_id, turn, CASE WHEN fate = 4 THEN 'user' ELSE role END AS role,
+    CASE WHEN fate = 1 THEN '' WHEN fate = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(range(CASE fate WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy
+  FROM (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, {_CRC} % 20 AS fate FROM conversations)),
+numbered AS (
+  SELECT *, left(role, 1) AS letter, NOT regexp_matches(text, '[^ 	-]') AS blank,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS k,
+    row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) > 1 AS again
+  FROM hurt),
+marked AS MATERIALIZED (
+  SELECT *, blank OR again AS dropped,
+    CASE WHEN NOT blank AND NOT again AND NOT regexp_matches(text, '[.!?][ 	-]*\z') THEN 1 ELSE 0 END AS cut,
+    lag(letter) OVER (PARTITION BY conv_id ORDER BY k) || letter AS pair
+  FROM numbered),
+walk(conv_id, k, s0, s1, s2, s3) AS (
+  SELECT DISTINCT conv_id, 0::BIGINT, {{'c': 0, 'e': '', 'o': []::VARCHAR[]}}, NULL::STRUCT(c INTEGER, e VARCHAR, o VARCHAR[]),
+    {{'c': 2, 'e': 'I', 'o': ['user:']}}, {{'c': 4, 'e': 'II', 'o': ['user:', 'assistant:']}} FROM conversations
+  UNION ALL
+  SELECT conv_id, k, n0, n1, m2, {_best("n3", _inserted("m2", "assistant"))} FROM (
+    SELECT conv_id, k, n0, n1, n3,
+      {_best("n2", _inserted("n0", "user"), _inserted("n1", "user"), _inserted("n3", "user"))} AS m2 FROM (
+      SELECT walk.conv_id, marked.k, {", ".join(_stepped(q) for q in range(4))}
+      FROM walk JOIN marked ON marked.conv_id IS NOT DISTINCT FROM walk.conv_id AND marked.k = walk.k + 1))),
+ended AS (
+  SELECT conv_id, {_best("s0", "s3")} AS way FROM walk QUALIFY k = max(k) OVER (PARTITION BY conv_id)),
+counts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank,
+    count(*) FILTER (again AND NOT blank) AS duplicate, sum(cut) AS truncated,
+    count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM marked GROUP BY conv_id)
+SELECT e.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+  coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0) AS illegal, way.c::BIGINT AS cost, way.e AS audit,
+  sha256(array_to_string(way.o, chr(10))) AS repaired_sha256
+FROM ended e LEFT JOIN counts ON counts.conv_id IS NOT DISTINCT FROM e.conv_id
+"""
