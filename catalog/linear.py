@@ -57,8 +57,8 @@ line AS (SELECT n, (n * sxy - sx * sy) / (n * sx2 - sx * sx) AS m, (sx2 * sy - s
 """
 
 
-def _descent_sql(features: list[str], names: list[str]) -> str:
-    """Recursive SQL over the sums of products: one row per iteration."""
+def descent_sql(features: list[str], names: list[str], data: str = DATA_SQL) -> str:
+    """Recursive SQL over the sums of products of ``data``: one row per iteration."""
     columns = ["1.0::DOUBLE", *features]
     width = len(columns)
     pairs = [(i, j) for i in range(width) for j in range(i, width)]
@@ -80,8 +80,8 @@ def _descent_sql(features: list[str], names: list[str]) -> str:
     stepped = ", ".join(f"t{i} - lr * ({gradient(i)}) AS t{i}" for i in range(width))
     start = ", ".join(f"0.1::DOUBLE AS t{i}" for i in range(width))
     shown = ", ".join(f"round(t{i}, 4) + 0.0 AS {name}" for i, name in enumerate(names))
-    return f"""WITH RECURSIVE {DATA_SQL},
-gram AS (SELECT count(*) AS n, sum(y * y) AS yy, {", ".join(sums)} FROM data),
+    return f"""WITH RECURSIVE {data},
+gram AS MATERIALIZED (SELECT count(*) AS n, sum(y * y) AS yy, {", ".join(sums)} FROM data),
 walk AS (
   SELECT -1 AS iteration, 0.0::DOUBLE AS cost, 0.0::DOUBLE AS before, 0.001::DOUBLE AS lr, {start}
   UNION ALL
@@ -100,6 +100,6 @@ ORACLES = {
     "ols_simple": f"WITH {DATA_SQL} SELECT n, round(m, 6) AS m, round(b, 6) AS b FROM line",
     "linear_predict": f"""WITH {DATA_SQL} SELECT l_orderkey, l_linenumber,
         round(b + m * x, 6) + 0.0 AS predicted, round(y - (b + m * x), 6) + 0.0 AS residual FROM data, line""",
-    "gd_simple_trace": _descent_sql(["x"], ["b", "m"]),
-    "gd_multi_trace": _descent_sql(MULTI, [f"theta{i}" for i in range(len(MULTI) + 1)]),
+    "gd_simple_trace": descent_sql(["x"], ["b", "m"]),
+    "gd_multi_trace": descent_sql(MULTI, [f"theta{i}" for i in range(len(MULTI) + 1)]),
 }

@@ -97,6 +97,12 @@ def mixture_sweep_counts(spark, sf_dir):
     return mixture.sweep_counts(*_sweep(spark, sf_dir), SEED, 0)
 
 
+def mixture_sweep_report(spark, sf_dir):
+    """The three most frequent categories of each cluster that the sweep draws."""
+    drawn = mixture_sweep_assigned(spark, sf_dir).join(posts(spark, sf_dir).select("doc_id", "category"), "doc_id")
+    return rounded(clusters.cluster_top_categories(clusters.cluster_category_share(drawn), 3), 6, "pct")
+
+
 QUERIES = {
     "mixture_posterior": mixture_posterior,
     "cluster_term_counts": cluster_term_counts,
@@ -107,6 +113,7 @@ QUERIES = {
     "mixture_gibbs": mixture_gibbs,
     "mixture_sweep_assigned": mixture_sweep_assigned,
     "mixture_sweep_counts": mixture_sweep_counts,
+    "mixture_sweep_report": mixture_sweep_report,
 }
 
 ASSIGNED_SQL = """
@@ -141,6 +148,12 @@ drawn AS (SELECT doc_id, CAST(least(count(*) FILTER (step <= mark), {K - 1}) AS
 """
 
 ORACLES = {
+    "mixture_sweep_report": f"""WITH {SWEEP_SQL},
+        shares AS (SELECT cluster, category, count(*) AS n, count(*) / sum(count(*)) OVER (PARTITION BY cluster) * 100 AS pct
+          FROM drawn JOIN (SELECT doc_id, category FROM assigned) USING (doc_id) GROUP BY cluster, category),
+        ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY cluster ORDER BY n DESC, category) AS INTEGER) AS rank
+          FROM shares)
+        SELECT cluster, category, n, round(pct, 6) AS pct, rank FROM ranked WHERE rank <= 3""",
     "mixture_sweep_assigned": f"WITH {SWEEP_SQL} SELECT doc_id, cluster FROM drawn",
     "mixture_sweep_counts": f"""WITH {SWEEP_SQL}
         SELECT cluster, term_id, CAST(sum(cnt) AS BIGINT) AS cnt FROM counts JOIN drawn USING (doc_id) GROUP BY cluster, term_id

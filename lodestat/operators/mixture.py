@@ -17,7 +17,7 @@ from pyspark.storagelevel import StorageLevel
 from lodestat.layout import bounded_broadcast, gathered
 from lodestat.operators import slices
 from lodestat.operators.vocab import VOCABULARY_SIZE
-from lodestat.session import store
+from lodestat.session import Kept, store
 
 CLUSTERS = 20
 ALPHA = 0.1
@@ -261,7 +261,10 @@ def mixture_gibbs(
     """
     if sweeps < 1:
         raise ValueError("at least one sweep is needed")
-    rows = store(rows, "documents")
+    scratch = Kept()
+    scratch.hold()
+    with scratch:
+        rows = store(rows, "documents")
     cached = rows.persist(StorageLevel.MEMORY_AND_DISK)
     params = draw_parameters(np.zeros(k), np.zeros((k, size)), seed, -1, alpha, beta)
     shared = None
@@ -277,4 +280,5 @@ def mixture_gibbs(
     # stored, so that every report sees one assignment
     assigned = store(assign(rows, shared, seed, sweeps - 1), "assigned")
     shared.destroy()
+    scratch.close()
     return Mixture(assigned, params)

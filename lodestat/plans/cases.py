@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from lodestat.layout import spread
 from lodestat.operators import classify, doc_rows, evaluate, vectors, vocab
 from lodestat.operators.vocab import VOCABULARY_SIZE
-from lodestat.session import materialize, store
+from lodestat.session import Kept, materialize, store
 from lodestat.sources.documents import class_label, parse_lines
 from lodestat.sources.files import read_lines
 
@@ -59,6 +59,11 @@ class Evaluation:
     model: object
     vocab: DataFrame
     scored: DataFrame
+    kept: Kept
+
+    def close(self) -> None:
+        """Delete the stored vocabulary and scores."""
+        self.kept.close()
 
     def confusion(self) -> DataFrame:
         return evaluate.confusion_f1(self.scored)
@@ -92,31 +97,46 @@ def logistic(
     Test vectors use the IDF of the test corpus, or of the training corpus with
     ``idf_from="train"``.
     """
-    train, test = Corpus.read(spark, train_path), Corpus.read(spark, test_path)
-    words = train.vocabulary(size)
-    terms, tested = train.terms(words, size), test.terms(words, size)
-    idf = train.idf(words, terms)
-    rows = classify.lay_out(classify.row_points(doc_rows.vector_rows(terms, idf), label()))
-    model = classify.train(rows, words.count(), classify.logistic_objective(), max_iter)
-    known = {"test": lambda: test.idf(words, tested), "train": lambda: idf}[idf_from]()
-    scores = classify.row_scores(doc_rows.vector_rows(tested, known), model.weights)
-    return Evaluation(model, words, store(classify.logistic_predict(scores).withColumn("label", label()), "scored"))
+    with Kept() as kept:
+        with Kept():  # of all but the vocabulary and the scores
+            train, test = Corpus.read(spark, train_path), Corpus.read(spark, test_path)
+            words = _owned(kept, train.vocabulary, size)
+            terms, tested = train.terms(words, size), test.terms(words, size)
+            idf = train.idf(words, terms)
+            rows = classify.lay_out(classify.row_points(doc_rows.vector_rows(terms, idf), label()))
+            model = classify.train(rows, words.count(), classify.logistic_objective(), max_iter)
+            known = {"test": lambda: test.idf(words, tested), "train": lambda: idf}[idf_from]()
+            scores = classify.row_scores(doc_rows.vector_rows(tested, known), model.weights)
+            scored = _owned(kept, store, classify.logistic_predict(scores).withColumn("label", label()), "scored")
+        kept.hold()
+    return Evaluation(model, words, scored, kept)
+
+
+def _owned(kept: Kept, work, *settings) -> DataFrame:
+    """What ``work`` stores, owned by ``kept``."""
+    kept.hold()
+    with kept:
+        return work(*settings)
 
 
 def lbfgs(
     spark: SparkSession, train_path: str, test_path: str, size: int = VOCABULARY_SIZE, max_iter: int = 100
 ) -> Evaluation:
     """Logistic regression by L-BFGS on term frequencies."""
-    train, test = Corpus.read(spark, train_path), Corpus.read(spark, test_path)
-    words = train.vocabulary(size)
-    width = words.count()
+    with Kept() as kept:
+        with Kept():
+            train, test = Corpus.read(spark, train_path), Corpus.read(spark, test_path)
+            words = _owned(kept, train.vocabulary, size)
+            width = words.count()
 
-    def points(corpus: Corpus) -> DataFrame:
-        rows = doc_rows.frequency_rows(doc_rows.term_rows(corpus.rows, words, size))
-        return classify.vector_rows(classify.row_points(rows, label()), width)
+            def points(corpus: Corpus) -> DataFrame:
+                rows = doc_rows.frequency_rows(doc_rows.term_rows(corpus.rows, words, size))
+                return classify.vector_rows(classify.row_points(rows, label()), width)
 
-    model = classify.train_lbfgs(points(train), max_iter)
-    return Evaluation(model, words, store(classify.lbfgs_predict(model, points(test)), "scored"))
+            model = classify.train_lbfgs(points(train), max_iter)
+            scored = _owned(kept, store, classify.lbfgs_predict(model, points(test)), "scored")
+        kept.hold()
+    return Evaluation(model, words, scored, kept)
 
 
 def svm(
@@ -128,16 +148,20 @@ def svm(
     weighted: bool = False,
 ) -> Evaluation:
     """Linear SVM on term frequencies; with ``weighted`` each class counts by the size of the other."""
-    train, test = Corpus.read(spark, train_path), Corpus.read(spark, test_path)
-    words = train.vocabulary(size)
-    found = doc_rows.frequency_rows(doc_rows.term_rows(train.rows, words, size))
-    rows = classify.lay_out(classify.row_points(found, label(-1)))
-    if weighted:
-        sizes = {r["label"]: r["n"] for r in evaluate.class_counts(rows).collect()}
-        objective = classify.weighted_hinge_objective(sizes.get(-1.0, 0), sizes.get(1.0, 0))
-    else:
-        objective = classify.hinge_objective(train.lines.count())
-    model = classify.train(rows, words.count(), objective, max_iter)
-    tested = doc_rows.frequency_rows(doc_rows.term_rows(test.rows, words, size))
-    scores = classify.row_scores(tested, model.weights)
-    return Evaluation(model, words, store(classify.margin_predict(scores).withColumn("label", label(-1)), "scored"))
+    with Kept() as kept:
+        with Kept():
+            train, test = Corpus.read(spark, train_path), Corpus.read(spark, test_path)
+            words = _owned(kept, train.vocabulary, size)
+            found = doc_rows.frequency_rows(doc_rows.term_rows(train.rows, words, size))
+            rows = classify.lay_out(classify.row_points(found, label(-1)))
+            if weighted:
+                sizes = {r["label"]: r["n"] for r in evaluate.class_counts(rows).collect()}
+                objective = classify.weighted_hinge_objective(sizes.get(-1.0, 0), sizes.get(1.0, 0))
+            else:
+                objective = classify.hinge_objective(train.lines.count())
+            model = classify.train(rows, words.count(), objective, max_iter)
+            tested = doc_rows.frequency_rows(doc_rows.term_rows(test.rows, words, size))
+            scores = classify.row_scores(tested, model.weights)
+            scored = _owned(kept, store, classify.margin_predict(scores).withColumn("label", label(-1)), "scored")
+        kept.hold()
+    return Evaluation(model, words, scored, kept)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from lodestat.layout import spread
 from lodestat.operators import doc_rows, nearest, similarity, vectors, vocab
 from lodestat.operators.vocab import VOCABULARY_SIZE
-from lodestat.session import materialize, store
+from lodestat.session import Kept, materialize, store
 from lodestat.sources.documents import parse_lines, parse_links
 from lodestat.sources.files import read_lines
 
@@ -37,6 +37,7 @@ class PageIndex:
     links: DataFrame
     cosine: bool
     size: int
+    kept: Kept
 
     @classmethod
     def build(
@@ -47,16 +48,25 @@ class PageIndex:
         cosine: bool = False,
         size: int = VOCABULARY_SIZE,
     ) -> PageIndex:
-        stored = store(parse_lines(read_lines(spark, pages_path)), "pages")
-        n_lines = vocab.corpus_count(stored).scalar()
-        counted = doc_rows.word_rows(spread(stored))
-        words = materialize(vocab.vocabulary(doc_rows.word_count(counted), size))
-        terms = store(doc_rows.term_rows(counted, words, size), "page-terms")
-        idf = materialize(vectors.idf(doc_rows.document_frequency(terms), n_lines))
-        rows = store(doc_rows.vector_rows(terms, idf, cosine), "page-vectors")
-        bounds = materialize(nearest.term_bounds(rows, cosine))
-        links = store(parse_links(read_lines(spark, links_path)), "links")
-        return cls(words, idf, rows, bounds, links, cosine, size)
+        kept = Kept()
+        kept.hold()
+        with Kept():  # of what building alone needs
+            stored = store(parse_lines(read_lines(spark, pages_path)), "pages")
+            n_lines = vocab.corpus_count(stored).scalar()
+            counted = doc_rows.word_rows(spread(stored))
+            with kept:
+                words = materialize(vocab.vocabulary(doc_rows.word_count(counted), size))
+            terms = store(doc_rows.term_rows(counted, words, size), "page-terms")
+            with kept:
+                idf = materialize(vectors.idf(doc_rows.document_frequency(terms), n_lines))
+                rows = store(doc_rows.vector_rows(terms, idf, cosine), "page-vectors")
+                bounds = materialize(nearest.term_bounds(rows, cosine))
+                links = store(parse_links(read_lines(spark, links_path)), "links")
+        return cls(words, idf, rows, bounds, links, cosine, size, kept)
+
+    def close(self) -> None:
+        """Delete the stored tables; the index and what it gave can't be read any more."""
+        self.kept.close()
 
     @property
     def vectors(self) -> DataFrame:
@@ -84,7 +94,9 @@ class PageIndex:
 
     def predict(self, texts: Sequence[str], k: int = 10) -> DataFrame:
         """``query_id, category, votes`` for a batch of texts."""
-        found = [
-            nearest.nearest_links(self.links, self.rows, asked, self.bounds, k, self.cosine) for asked in self._passes(texts)
-        ]
+        with self.kept:  # what an answer stores goes with the index
+            found = [
+                nearest.nearest_links(self.links, self.rows, asked, self.bounds, k, self.cosine)
+                for asked in self._passes(texts)
+            ]
         return similarity.votes(reduce(DataFrame.unionByName, found))

@@ -11,7 +11,7 @@ from lodestat.functions.text import tokens_strip
 from lodestat.layout import spread
 from lodestat.operators import clusters, doc_rows, mixture, vectors, vocab
 from lodestat.operators.vocab import VOCABULARY_SIZE
-from lodestat.session import materialize, store
+from lodestat.session import Kept, materialize, store
 from lodestat.sources.documents import parse_posts
 from lodestat.sources.files import read_lines
 
@@ -29,6 +29,7 @@ class PostCorpus:
     vocab: DataFrame
     rows: DataFrame
     size: int
+    kept: Kept
 
     @classmethod
     def read(cls, spark: SparkSession, path: str, size: int = VOCABULARY_SIZE) -> PostCorpus:
@@ -37,11 +38,20 @@ class PostCorpus:
         parsed = parse_posts(read_lines(spark, path)).select(
             F.concat_ws("#", "doc_id", line).alias("doc_id"), "category", "body"
         )
-        posts = spread(store(parsed, "posts"))
-        words = materialize(vocab.vocabulary(vocab.word_count(tokens_strip(posts)), size))
-        counted = doc_rows.word_rows(posts, doc_rows.edge_trimmed, "body")
-        rows = store(doc_rows.term_rows(counted, words, size, keep_empty=True), "post-terms")
-        return cls(posts, words, rows, size)
+        kept = Kept()
+        kept.hold()
+        with kept:
+            posts = spread(store(parsed, "posts"))
+            words = materialize(vocab.vocabulary(vocab.word_count(tokens_strip(posts)), size))
+        with Kept():
+            counted = doc_rows.word_rows(posts, doc_rows.edge_trimmed, "body")
+            with kept:
+                rows = store(doc_rows.term_rows(counted, words, size, keep_empty=True), "post-terms")
+        return cls(posts, words, rows, size, kept)
+
+    def close(self) -> None:
+        """Delete the stored posts, dictionary and counts."""
+        self.kept.close()
 
     @property
     def counts(self) -> DataFrame:
@@ -61,6 +71,10 @@ class Clustering:
     corpus: PostCorpus
     mixture: mixture.Mixture
 
+    def close(self) -> None:
+        """Delete the stored corpus and clusters."""
+        self.corpus.close()
+
     def assigned(self) -> DataFrame:
         """``doc_id, category, cluster``."""
         return self.corpus.posts.select("doc_id", "category").join(self.mixture.assigned, "doc_id")
@@ -88,5 +102,6 @@ def cluster_posts(
 ) -> Clustering:
     corpus = PostCorpus.read(spark, path, size)
     rows = mixture.count_rows(corpus.rows)
-    found = mixture.mixture_gibbs(rows, corpus.vocab.count(), k, alpha, beta, sweeps, seed)
+    with corpus.kept:
+        found = mixture.mixture_gibbs(rows, corpus.vocab.count(), k, alpha, beta, sweeps, seed)
     return Clustering(corpus, found)

@@ -44,20 +44,57 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Compute a small table once into reliable storage, cutting its lineage.
+class Kept:
+    """Owner of intermediate tables: what is stored while it is open goes to it, and goes when it is closed.
 
-    Later uses read it back, also after executors are lost.
+    ``with Kept() as kept`` owns what its block stores, and deletes it at the end of the block unless ``kept.hold()`` was
+    called; then ``close`` does. Owners nest: a table belongs to the innermost one that is open.
     """
-    spark = df.sparkSession
-    folder = shared_folder(spark)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(folder)
-    return df.checkpoint()
+
+    _open: list[Kept] = []
+
+    def __init__(self) -> None:
+        self.paths: list[tuple[SparkSession, str]] = []
+        self._held = False
+
+    def __enter__(self) -> Kept:
+        Kept._open.append(self)
+        return self
+
+    def __exit__(self, kind, *_) -> None:
+        Kept._open.remove(self)
+        if kind is not None or not self._held:
+            self.close()
+
+    def hold(self) -> None:
+        """Keep the tables beyond the block."""
+        self._held = True
+
+    def close(self) -> None:
+        """Delete the tables. A second call does nothing."""
+        while self.paths:
+            spark, path = self.paths.pop()
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def note(spark: SparkSession, path: str) -> None:
+    """Give what was written at ``path`` to the innermost owner that is open."""
+    if Kept._open:
+        Kept._open[-1].paths.append((spark, path))
 
 
 def store(df: DataFrame, label: str = "table") -> DataFrame:
-    """As :func:`materialize` for tables that grow with the data: columnar, compressed, read by column."""
+    """Compute a table once into reliable storage, cutting its lineage: columnar, compressed, read by column.
+
+    Later uses read it back, also after executors are lost.
+    """
     path = fresh_path(df.sparkSession, label)
     df.write.parquet(path)
+    note(df.sparkSession, path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """As :func:`store`, for small tables."""
+    return store(df, "small")

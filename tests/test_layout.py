@@ -1,9 +1,12 @@
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
 from lodestat import layout
 from lodestat.operators import classify, vectors, vocab
-from lodestat.session import fresh_path, materialize, shared_folder, store
+from lodestat.plans import cases, pages, posts
+from lodestat.session import Kept, fresh_path, materialize, shared_folder, store
 
 
 @pytest.fixture
@@ -88,3 +91,40 @@ def test_folder_of_the_cluster_is_used():
     with pytest.raises(ValueError):
         shared_folder(Settings(None))
     assert "lodestat-" in shared_folder(Settings(None, master="local[2]"))
+
+
+def test_owners_delete_what_they_own(spark):
+    with Kept() as outer:
+        first = store(spark.range(3), "first")
+        with Kept() as inner:
+            store(spark.range(4), "second")
+            with outer:  # an inner owner's block may store for an outer one
+                outer.hold()
+                third = materialize(spark.range(5))
+            assert len(inner.paths) == 1 and len(outer.paths) == 2
+        assert not inner.paths and first.count() == 3 and third.count() == 5
+    assert len(outer.paths) == 2
+    outer.close()
+    outer.close()
+    assert not outer.paths and not Kept._open
+
+
+@pytest.mark.parametrize("job", ("pages", "logistic", "lbfgs", "svm", "posts"))
+def test_jobs_leave_nothing_behind(spark, text_file, job):
+    folder = shared_folder(spark).removeprefix("file:")
+    before = set(os.listdir(folder))
+    lines = [f'<doc id="{"AU" * (k % 2)}{k}" url="u" title="t">{"alpha beta" if k % 2 else "gamma delta beta"} {"x" * (k % 3)}</doc>' for k in range(12)]
+    path = text_file("cases.txt", *lines)
+    if job == "pages":
+        done = pages.PageIndex.build(spark, path, text_file("links.csv", *[f'"{k}","c{k % 3}"' for k in range(12)]))
+        assert done.predict(["gamma"], 3).count()
+    elif job == "posts":
+        done = posts.cluster_posts(spark, path, k=2, sweeps=2, size=5)
+        assert done.top_categories(1).count() >= 0 and done.doc_counts().count()
+    else:
+        settings = {"max_iter": 3} if job != "lbfgs" else {}
+        done = getattr(cases, job)(spark, path, path, size=4, **settings)
+        assert done.confusion().count() == 1
+    assert set(os.listdir(folder)) > before
+    done.close()
+    assert set(os.listdir(folder)) == before

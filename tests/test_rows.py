@@ -190,3 +190,14 @@ def test_row_scores_are_those_of_long_tables(spark):
     assert got == pytest.approx({d: sum(v * weights[t] for t, v in zip(ts, vs) if t < 10) for d, ts, vs, _ in rows})
     points = classify.row_points(df, F.lit(1)).collect()
     assert {r["doc_id"]: (r["idx"], r["val"], r["label"]) for r in points} == {d: (ts, vs, 1.0) for d, ts, vs, _ in rows}
+
+
+@pytest.mark.parametrize("size", (0, 1, 40, 41, 300, 999, 5000))
+def test_vocabulary_cuts_ties_by_word(spark, size):
+    draw = random.Random(1)
+    counts = [(f"w{draw.randrange(10**9)}", draw.choice((1, 1, 1, 2, 2, 3, 50, draw.randint(1, 10**6)))) for _ in range(1000)]
+    df = spark.createDataFrame(counts, "word string, cnt long").repartition(6)
+    ranked = sorted(counts, key=lambda r: (-r[1], r[0]))[:size]
+    found = vocab.vocabulary(df, size)
+    assert found.dtypes == [("word", "string"), ("cnt", "bigint"), ("term_id", "int")]
+    assert [tuple(r) for r in found.orderBy("term_id").collect()] == [(w, n, k) for k, (w, n) in enumerate(ranked)]
