@@ -45,7 +45,7 @@ def portions(texts, characters: int = 2_000_000):
     run, size = [], 0
     for text in texts:
         run.append(text)
-        size += len(text or "")
+        size += len(text)
         if size >= characters:
             yield run
             run, size = [], 0

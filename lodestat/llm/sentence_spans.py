@@ -162,12 +162,13 @@ def _cut(batches):
     for batch in batches:
         *kept, texts, ranges = batch.columns
         done = 0
-        for part in portions((text.as_py() for text in texts), PORTION):
+        for part in portions((text.as_py() or "" for text in texts), PORTION):
             out = []
-            for text, spans in zip(part, ranges.slice(done, len(part)).to_pylist()):
+            missing, cut = (c.slice(done, len(part)).to_pylist() for c in (texts.is_null(), ranges))
+            for text, none, spans in zip(part, missing, cut):
                 for span in reversed(spans or []):
                     text = text[: span["start"]] + text[span["end"] :]
-                out.append(text)
+                out.append(None if none else text)
             columns = [*(c.slice(done, len(part)) for c in kept), pa.array(out, pa.string())]
             yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names[:-1])
             done += len(part)
