@@ -39,7 +39,7 @@ def _over(df: DataFrame, source: str, out: str, width: int, join) -> DataFrame:
     df, reach = df.withColumn(out, F.col(source)), 1
     while reach < width:
         step = min(reach, width - reach)
-        df = df.withColumn(out, F.zip_with(out, F.slice(out, F.lit(step + 1), F.lit(1 << 30)), join))
+        df = df.withColumn(out, F.zip_with(out, F.slice(out, F.lit(step + 1), F.lit(1 << 30)), lambda a, b: join(a, b)))
         reach += step
     return df.withColumn(out, F.slice(out, F.lit(1), F.greatest(F.size(source) - (width - 1), F.lit(0))))
 
