@@ -62,7 +62,7 @@ class Kept:
         return self
 
     def __exit__(self, kind, *_) -> None:
-        Kept._open.remove(self)
+        Kept._open.pop()
         if kind is not None or not self._held:
             self.close()
 

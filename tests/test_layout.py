@@ -101,7 +101,8 @@ def test_owners_delete_what_they_own(spark):
             with outer:  # an inner owner's block may store for an outer one
                 outer.hold()
                 third = materialize(spark.range(5))
-            assert len(inner.paths) == 1 and len(outer.paths) == 2
+            store(spark.range(6), "fourth")
+            assert len(inner.paths) == 2 and len(outer.paths) == 2
         assert not inner.paths and first.count() == 3 and third.count() == 5
     assert len(outer.paths) == 2
     outer.close()
