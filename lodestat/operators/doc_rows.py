@@ -22,6 +22,7 @@ from lodestat.functions.text import (
     strip_words,
 )
 from lodestat.layout import BROADCAST_BYTES, bounded_broadcast
+from lodestat.operators.blocks import cut
 from lodestat.operators.vocab import VOCABULARY_SIZE, with_term_ids
 from lodestat.session import store
 
@@ -43,16 +44,6 @@ def edge_trimmed(text: Column) -> Column:
     return F.filter(edge_trim_words(text), lambda w: F.length(w) >= MIN_LETTERS)
 
 
-def _runs(lists, most: int = 1 << 20):
-    """Ends of runs of rows with about ``most`` entries, one row at least."""
-    ends = lists.offsets.to_numpy()
-    start = 0
-    while start < len(lists):
-        end = max(start + 1, int(np.searchsorted(ends, ends[start] + most, "right")) - 1)
-        yield start, min(end, len(lists))
-        start = end
-
-
 def _lists(n: int, row: np.ndarray, *values):
     """Arrow lists of ``values`` by ``row``, for rows 0 to ``n``."""
     import pyarrow as pa
@@ -72,20 +63,18 @@ def _counted(rows: DataFrame) -> DataFrame:
         import pyarrow as pa
         import pyarrow.compute as pc
 
-        for whole in batches:
-            for start, end in _runs(whole.column("_words")):
-                batch = whole.slice(start, end - start)
-                found = batch.column("_words")
-                coded = found.flatten().dictionary_encode()
-                order = pc.array_sort_indices(coded.dictionary).to_numpy().astype("int64")
-                place = np.empty(len(order), "int64")
-                place[order] = np.arange(len(order))
-                row = np.repeat(np.arange(batch.num_rows), pc.list_value_length(found).to_numpy())
-                # one number per (row, word), so that a single sort counts all rows
-                key, cnt = np.unique(row * max(1, len(order)) + place[coded.indices.to_numpy()], return_counts=True)
-                row, word = np.divmod(key, max(1, len(order)))
-                lists = _lists(batch.num_rows, row, coded.dictionary.take(pa.array(order[word])), cnt)
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *lists], names=schema.names)
+        for batch in cut(batches, "_words"):
+            found = batch.column("_words")
+            coded = found.flatten().dictionary_encode()
+            order = pc.array_sort_indices(coded.dictionary).to_numpy().astype("int64")
+            place = np.empty(len(order), "int64")
+            place[order] = np.arange(len(order))
+            row = np.repeat(np.arange(batch.num_rows), pc.list_value_length(found).to_numpy())
+            # one number per (row, word), so that a single sort counts all rows
+            key, cnt = np.unique(row * max(1, len(order)) + place[coded.indices.to_numpy()], return_counts=True)
+            row, word = np.divmod(key, max(1, len(order)))
+            lists = _lists(batch.num_rows, row, coded.dictionary.take(pa.array(order[word])), cnt)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *lists], names=schema.names)
 
     return rows.mapInArrow(count, schema)
 
@@ -149,7 +138,7 @@ def term_rows(rows: DataFrame, vocab: DataFrame, size: int = VOCABULARY_SIZE, ke
         import pyarrow.compute as pc
 
         table = pa.array(words, pa.string())
-        for batch in batches:
+        for batch in cut(batches, "words"):
             found = batch.column("words")
             row = np.repeat(np.arange(batch.num_rows), pc.list_value_length(found).to_numpy())
             at = pc.index_in(found.flatten().cast(pa.string()), value_set=table)
@@ -214,7 +203,7 @@ def vector_rows(rows: DataFrame, idf_table: DataFrame, binary: bool = False) ->
     def weigh(batches):
         import pyarrow as pa
 
-        for batch in batches:
+        for batch in cut(batches, "terms"):
             terms, tf = batch.column("terms"), batch.column("_tf")
             n, lengths = batch.num_rows, np.diff(terms.offsets.to_numpy())
             row, term = np.repeat(np.arange(n), lengths), terms.flatten().to_numpy()

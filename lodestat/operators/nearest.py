@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lodestat.layout import bounded_broadcast
+from lodestat.operators.blocks import cut
 from lodestat.session import materialize
 
 # Room for rounding when sums of bounds are compared with scores.
@@ -76,7 +77,7 @@ def all_scores(rows: DataFrame, queries: Queries, cosine: bool = False) -> DataF
     def run(batches):
         import pyarrow as pa
 
-        for batch in batches:
+        for batch in cut(batches, "terms"):
             n = batch.num_rows
             row, place, value = _hits(batch, queries.terms)
             norm = batch.column("norm").to_numpy() if cosine else None
@@ -155,7 +156,7 @@ def nearest_docs(rows: DataFrame, queries: Queries, bounds: DataFrame, k: int, c
 
         best = [Best(k, queries.weights[:, q], tops) for q in range(len(queries.ids))]
         kind = None
-        for batch in batches:
+        for batch in cut(batches, "terms"):
             docs, n = batch.column("doc_id"), batch.num_rows
             kind = docs.type
             row, place, value = _hits(batch, queries.terms)
