@@ -32,10 +32,13 @@ def cluster_top_categories(shares: DataFrame, k: int = 3) -> DataFrame:
 
 
 def cluster_term_counts(counts: DataFrame, assigned: DataFrame, vocab: DataFrame, k: int, size: int) -> DataFrame:
-    """``cluster, term_id, cnt`` for every cluster and vocabulary position, empty ones as 0."""
+    """``cluster, term_id, cnt`` for every cluster and vocabulary position, empty ones as 0.
+
+    Counts, of which a document has many, run past a table of their partition's documents and aren't sorted for the join.
+    """
     scaffold = vocab.select("term_id", F.explode(F.sequence(F.lit(0), F.lit(k - 1))).alias("cluster"))
     found = (
-        counts.join(assigned.select("doc_id", "cluster"), "doc_id")
+        counts.join(assigned.select("doc_id", "cluster").hint("shuffle_hash"), "doc_id")
         .groupBy("cluster", "term_id")
         .agg(F.sum("cnt").alias("cnt"))
     )
