@@ -6,16 +6,18 @@ bounded by clusters times vocabulary; documents stay on the executors.
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass
 
 import numpy as np
 from pyspark.core.broadcast import Broadcast
+from pyspark.core.rdd import RDD
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
-from lodestat.layout import bounded_broadcast, gathered
-from lodestat.operators import slices
+from lodestat.layout import bounded_broadcast
+from lodestat.operators import blocks, slices
 from lodestat.operators.vocab import VOCABULARY_SIZE
 from lodestat.session import Kept, store
 
@@ -153,25 +155,34 @@ def share_parameters(spark: SparkSession, params: MixtureParameters) -> Broadcas
     return spark.sparkContext.broadcast((params.log_pi, params.log_mu))
 
 
-def _drawer(shared: Broadcast):
-    """Task-side draw: clusters of a batch of rows ``idx, cnt, u`` under the shared parameters."""
+def _draw(log_pi, log_mu, u, sizes, idx, cnt):
+    """Clusters of documents with ``sizes`` entries each, one after the other, under the parameters."""
+    loglik = np.tile(log_pi, (len(u), 1))
+    words = np.flatnonzero(sizes)
+    if len(words):
+        starts, cnt = (np.cumsum(sizes) - sizes)[words], cnt.astype("float64")
+        for j, row in enumerate(log_mu):
+            loglik[words, j] += np.add.reduceat(cnt * row.take(idx), starts)
+    weight = np.exp(loglik - loglik.max(axis=1, keepdims=True))
+    steps = np.cumsum(weight, axis=1)
+    cluster = (steps <= (u * steps[:, -1])[:, None]).sum(axis=1)
+    return np.minimum(cluster, len(log_pi) - 1)
 
-    def draw(batch):
-        import numpy as np
 
+def _adder(shared: Broadcast):
+    """Task-side counts over blocks ``u, sizes, idx, cnt``: documents per cluster, then words by cluster and term."""
+
+    def add_up(found):
         log_pi, log_mu = shared.value
-        u = batch.column("u").to_numpy()
-        idx = batch.column("idx").flatten().to_numpy()
-        cnt = batch.column("cnt").flatten().to_numpy()
-        doc = np.repeat(np.arange(len(u)), np.diff(batch.column("idx").offsets.to_numpy()))
-        loglik = np.stack([np.bincount(doc, weights=cnt * row[idx], minlength=len(u)) for row in log_mu], axis=1)
-        loglik = loglik + log_pi  # in place fails where a batch has no words and bincount gives integers
-        weight = np.exp(loglik - loglik.max(axis=1, keepdims=True))
-        steps = np.cumsum(weight, axis=1)
-        cluster = (steps <= (u * steps[:, -1])[:, None]).sum(axis=1)
-        return np.minimum(cluster, len(log_pi) - 1), doc, idx, cnt
+        k, size = log_mu.shape
+        total = np.zeros(k + k * size)
+        for u, sizes, idx, cnt in found:
+            cluster = _draw(log_pi, log_mu, u, sizes, idx, cnt)
+            total[:k] += np.bincount(cluster, minlength=k)
+            total[k:] += np.bincount(np.repeat(cluster, sizes) * size + idx, weights=cnt, minlength=k * size)
+        return total
 
-    return draw
+    return add_up
 
 
 def _with_uniform(rows: DataFrame, seed: int, sweep: int, *columns: str) -> DataFrame:
@@ -179,21 +190,31 @@ def _with_uniform(rows: DataFrame, seed: int, sweep: int, *columns: str) -> Data
 
 
 def _sweep_slices(rows: DataFrame, shared: Broadcast, seed: int, sweep: int) -> DataFrame:
-    """Packed slices per task: documents per cluster, then words by cluster and term."""
-    draw = _drawer(shared)
+    """Packed slices of the counts per task."""
+    add_up = _adder(shared)
 
-    def add_up(batches):
-        import numpy as np
+    def run(batches):
+        yield from slices.packed(add_up(blocks.arrays(b, "u", "idx", "cnt") for b in blocks.cut(batches, "idx")))
 
-        k, size = shared.value[1].shape
-        total = np.zeros(k + k * size)
-        for batch in batches:
-            cluster, doc, idx, cnt = draw(batch)
-            total[:k] += np.bincount(cluster, minlength=k)
-            total[k:] += np.bincount(cluster[doc] * size + idx, weights=cnt, minlength=k * size)
-        yield from slices.packed(total)
+    return _with_uniform(rows, seed, sweep).mapInArrow(run, slices.SCHEMA)
+
+
+def _uniforms(seed: int, sweep: int, ids: list[str | None]) -> np.ndarray:
+    """The numbers of :func:`uniform` for ids as text."""
+    head = f"{seed}:{sweep}"
+    keys = (head if i is None else f"{head}:{i}" for i in ids)
+    bits = (int.from_bytes(hashlib.md5(key.encode(), usedforsecurity=False).digest()[:7], "big") >> 4 for key in keys)
+    return np.fromiter(bits, np.float64, len(ids)) / 2**52
+
+
+def _sweep_total(parts: RDD, shared: Broadcast, seed: int, sweep: int, size: int) -> np.ndarray:
+    """The counts of one sweep over blocks ``doc_id, sizes, idx, cnt``."""
+    add_up = _adder(shared)
+
+    def run(found):
+        yield add_up((_uniforms(seed, sweep, ids), *rest) for ids, *rest in found)
 
-    return _with_uniform(rows, seed, sweep).mapInArrow(add_up, slices.SCHEMA)
+    return blocks.total(parts.mapPartitions(run), size)
 
 
 def sweep_counts(rows: DataFrame, shared: Broadcast, seed: int, sweep: int) -> DataFrame:
@@ -214,14 +235,13 @@ def sweep_counts(rows: DataFrame, shared: Broadcast, seed: int, sweep: int) -> D
 
 def assign(rows: DataFrame, shared: Broadcast, seed: int, sweep: int) -> DataFrame:
     """``doc_id, cluster``: the same draws that :func:`sweep_counts` counts."""
-    draw = _drawer(shared)
     id_type = rows.schema["doc_id"].dataType.simpleString()
 
     def label(batches):
         import pyarrow as pa
 
-        for batch in batches:
-            cluster = draw(batch)[0]
+        for batch in blocks.cut(batches, "idx"):
+            cluster = _draw(*shared.value, *blocks.arrays(batch, "u", "idx", "cnt"))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(cluster.astype("int32"))], names=["doc_id", "cluster"]
             )
@@ -257,7 +277,7 @@ def mixture_gibbs(
     """Gibbs sampling over ``document_rows``: clusters of documents, then parameters, per sweep.
 
     A draw depends on (seed, sweep, document) alone. Assignments are therefore not stored between
-    sweeps and the plan of a sweep never grows: each is one job over the same cached rows.
+    sweeps: each is one job over the same blocks of rows, packed once and kept.
     """
     if sweeps < 1:
         raise ValueError("at least one sweep is needed")
@@ -265,7 +285,9 @@ def mixture_gibbs(
     scratch.hold()
     with scratch:
         rows = store(rows, "documents")
-    cached = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    named = rows.withColumn("doc_id", F.col("doc_id").cast("string"))
+    kept = blocks.packed(named, "doc_id", "idx", "cnt").persist(StorageLevel.MEMORY_AND_DISK)
+    parts = blocks.per_core(kept)
     params = draw_parameters(np.zeros(k), np.zeros((k, size)), seed, -1, alpha, beta)
     shared = None
     try:
@@ -273,10 +295,10 @@ def mixture_gibbs(
             if shared is not None:
                 shared.destroy()
             shared = share_parameters(rows.sparkSession, params)
-            total = slices.vector(_sweep_slices(gathered(cached), shared, seed, sweep), k + k * size)
+            total = _sweep_total(parts, shared, seed, sweep, k + k * size)
             params = draw_parameters(total[:k], total[k:].reshape(k, size), seed, sweep, alpha, beta)
     finally:
-        cached.unpersist()
+        kept.unpersist()
     # stored, so that every report sees one assignment
     assigned = store(assign(rows, shared, seed, sweeps - 1), "assigned")
     shared.destroy()
