@@ -254,10 +254,11 @@ class Scorer:
 
 
 def _portions(texts, size: int = 1 << 20):
+    """Runs of texts of about ``size`` bytes."""
     run, total = [], 0
     for text in texts:
-        run.append(text)
-        total += len(text) + 20
+        run.append(text.as_py() or b"")
+        total += len(run[-1]) + 20
         if total >= size:
             yield run
             run, total = [], 0
@@ -265,18 +266,35 @@ def _portions(texts, size: int = 1 << 20):
         yield run
 
 
-def _score(shared):
+def _score(shared, text: str | None, name: str):
+    """Rows with the score of their column ``text``, or of the last one instead of it, a portion at a time."""
+
     def run(batches):
         scorer = Scorer(shared.value) if shared.value else None
         for batch in batches:
-            *kept, texts = batch.columns
-            found = [scorer(portion) for portion in _portions(texts.to_pylist())] if scorer else [np.zeros(len(texts))]
-            scores = pa.array(np.concatenate(found) if found else [], pa.float64())
-            yield pa.RecordBatch.from_arrays([*kept, scores], names=batch.schema.names)
+            kept, names, start = batch.columns, batch.schema.names, 0
+            texts = kept[-1] if text is None else batch.column(text)
+            if text is None:
+                kept, names = kept[:-1], names[:-1]
+            else:
+                texts = texts.cast(pa.binary() if pa.types.is_string(texts.type) else pa.large_binary())
+            for portion in _portions(texts):
+                scores = scorer(portion) if scorer else np.zeros(len(portion))
+                some = [column.slice(start, len(portion)) for column in kept]
+                yield pa.RecordBatch.from_arrays([*some, pa.array(scores, pa.float64())], names=[*names, name])
+                start += len(portion)
 
     return run
 
 
+def _scored(docs: DataFrame, shared, text_col: str, name: str) -> DataFrame:
+    """``docs`` with a column ``name``, new there; a text column of strings goes to the tasks once."""
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
+    own = dict(docs.dtypes).get(text_col) == "string"
+    rows = docs if own else docs.withColumn(name, text_bytes(text_col))
+    return rows.mapInArrow(_score(shared, text_col if own else None, name), f"{kinds}, `{name}` double")
+
+
 def fit(docs: DataFrame, labels: DataFrame, held_out, id_col: str = "doc_id", text_col: str = "text") -> dict | None:
     """Parameters learned from labelled rows where the condition ``held_out`` on ``doc_id`` doesn't hold."""
     known = labels.select(F.col("doc_id"), F.col("toxic").cast("int").alias("toxic")).filter(~held_out)
@@ -312,11 +330,7 @@ def scores(docs: DataFrame, labels: DataFrame, held_out, id_col: str = "doc_id",
     """``docs`` with a column ``score``; a column of that name is replaced."""
     docs = docs.drop("score")
     shared = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, held_out, id_col, text_col))
-    text = unused("score_text", docs)
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    rows = docs.withColumn(text, text_bytes(text_col))
-    scored = rows.mapInArrow(_score(shared), f"{kinds}, `{text}` double")
-    return scored.withColumnRenamed(text, "score")
+    return _scored(docs, shared, text_col, "score")
 
 
 def by_remainder(name: str = "doc_id"):
@@ -328,8 +342,7 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
     """The rows of ``docs`` that score below ``threshold``, with all their columns."""
     shared = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, by_remainder(), id_col, text_col))
     score = unused("toxic_score", docs)
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    rows = docs.withColumn(score, text_bytes(text_col)).mapInArrow(_score(shared), f"{kinds}, `{score}` double")
+    rows = _scored(docs, shared, text_col, score)
     return rows.filter(F.col(score) < threshold).drop(score)
 
 
