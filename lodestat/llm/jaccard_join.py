@@ -104,7 +104,7 @@ def subset_keys(found: np.ndarray, percent: int = PERCENT):
 
 
 def _sizes(words: int):
-    """``doc_id, n, set_id`` of each row, and ``shingle, n`` of shingles frequent in a batch, with ``doc`` False."""
+    """``doc_id, n, set_id, text`` of each row, and ``shingle, n`` of shingles frequent in a batch, with ``doc`` False."""
 
     def run(batches):
         shingle = Shingler(words)
@@ -114,15 +114,19 @@ def _sizes(words: int):
             sizes = pa.array([len(s) for s in sets], pa.int64())
             hashes = pa.array([set_hash(s) for s in sets], pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [pa.array([True] * len(ids), pa.bool_()), ids, sizes, hashes], names=["doc", "doc_id", "n", "set_id"]
+                [pa.array([True] * len(ids), pa.bool_()), ids, sizes, hashes, batch.column("text")],
+                names=["doc", "doc_id", "n", "set_id", "text"],
             )
             distinct = {set_hash(s): s for s in sets}.values()
             values, counts = np.unique(np.concatenate(list(distinct)), return_counts=True) if sets else (np.empty(0, np.uint64),) * 2
             often = counts >= FREQUENT
             values = pa.array(values[often].view(np.int64))
             yield pa.RecordBatch.from_arrays(
-                [pa.array([False] * len(values), pa.bool_()), pa.nulls(len(values), ids.type), pa.array(counts[often].astype(np.int64)), values],
-                names=["doc", "doc_id", "n", "set_id"],
+                [
+                    pa.array([False] * len(values), pa.bool_()), pa.nulls(len(values), ids.type),
+                    pa.array(counts[often].astype(np.int64)), values, pa.nulls(len(values), batch.column("text").type),
+                ],
+                names=["doc", "doc_id", "n", "set_id", "text"],
             )
 
     return run
@@ -156,14 +160,14 @@ def _entries(words: int, percent: int, boundary: int, shared):
         least = least_shared(boundary + 1, percent)
         for batch in batches:
             columns = [[] for _ in range(6)]
-            for text in batch.column("text").to_pylist():
-                found = shingle(text)
-                size, name = len(found), set_hash(found)
-                if not size or name in seen:
+            for name, text in zip(batch.column("set_id").to_pylist(), batch.column("text")):
+                if name in seen:
                     continue
                 if len(seen) > 500_000:
                     seen.clear()
                 seen.add(name)
+                found = shingle(text.as_py())
+                size = len(found)
                 made = list(subset_keys(found, percent)) if size <= boundary else []
                 prefix = counts = np.zeros(0, np.int64)
                 if size >= least:
@@ -216,16 +220,16 @@ def _wanted_sets(words: int, shared):
         shingle, bits, seen = Shingler(words), shared.value, set()
         for batch in batches:
             names, sets = [], []
-            for text in batch.column("text").to_pylist():
-                found = shingle(text)
-                name = set_hash(found)
-                slot = name & (1 << BLOOM_BITS) - 1
-                if len(found) and bits[slot >> 3] >> (7 - (slot & 7)) & 1 and name not in seen:
+            ids, texts = batch.column("set_id").to_numpy(), batch.column("text")
+            slot = ids & (1 << BLOOM_BITS) - 1
+            for place in np.flatnonzero(bits[slot >> 3] >> (7 - (slot & 7)) & 1).tolist():
+                name = int(ids[place])
+                if name not in seen:
                     if len(seen) > 500_000:
                         seen.clear()
                     seen.add(name)
                     names.append(name)
-                    sets.append(found.tobytes())
+                    sets.append(shingle(texts[place].as_py()).tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(sets, pa.binary())], names=["set_id", "found"])
 
     return run
@@ -298,7 +302,7 @@ def _may_link(percent: int):
 
 
 class Comparer:
-    """Answers which pairs of sets link; texts are read for the sets that need comparing."""
+    """Answers which pairs of sets link; the texts of sets that need comparing are split anew, by the sets' names."""
 
     def __init__(self, texts: DataFrame, entries: DataFrame, words: int, percent: int):
         self.texts, self.words, self.percent = texts, words, percent
@@ -334,7 +338,7 @@ def _enough_left(n: str, place: str, other_n: str, other_place: str, percent: in
 
 
 def set_components(texts: DataFrame, boundary: int, frequent, words: int, percent: int) -> DataFrame:
-    """``node, root`` of every set that links with another."""
+    """``node, root`` of every set that links with another, of ``set_id, text``; sets aren't empty."""
     context = texts.sparkSession.sparkContext
     schema = "set_id long, n long, keys array<binary>, shared array<int>, prefix array<long>, counts array<long>"
     made = texts.mapInArrow(_entries(words, percent, boundary, context.broadcast(frequent)), schema)
@@ -389,12 +393,14 @@ def near_groups(
     """One row per row of ``docs``: ``doc_id, n_shingles, component_id``, the smallest id that links lead to."""
     texts = docs.select(F.col(id_col).alias("doc_id"), text_bytes(text_col).alias("text"))
     kind = texts.schema["doc_id"].dataType.simpleString()
-    both = store(texts.mapInArrow(_sizes(words), f"doc boolean, doc_id {kind}, n long, set_id long"), "jaccard-sizes")
+    made = texts.mapInArrow(_sizes(words), f"doc boolean, doc_id {kind}, n long, set_id long, text binary")
+    both = store(made, "jaccard-sizes")
     rows = both.filter("doc").select("doc_id", F.col("n").alias("n_shingles"), "set_id")
     # sizes up to a small bound matter to the choice; larger ones are large in any case
     counts = rows.filter(F.col("n_shingles").between(1, 2 * LARGEST_SMALL)).groupBy("n_shingles").count().collect()
     boundary = choose_boundary({r["n_shingles"]: r["count"] for r in counts}, percent)
-    roots = set_components(texts.select("text"), boundary, _frequent(both), words, percent)
+    named = both.filter("doc and n > 0").select("set_id", "text")
+    roots = set_components(named, boundary, _frequent(both), words, percent)
 
     some = rows.filter("n_shingles > 0").join(roots, rows["set_id"] == roots["node"], "left")
     some = some.select("doc_id", "n_shingles", F.coalesce("root", "set_id").alias("root"))
