@@ -12,9 +12,11 @@ class of its larger set:
 
 The boundary between the classes is where keys and list entries cost least, over the sizes of all documents.
 
-A list is first answered by stars: each set is compared with ``HUBS`` sets of its list, and linked sets become one
-component. Then only pairs of a list whose components still differ are compared. So every link between sets of different
-components is checked, while a list of thousands of near copies costs as many comparisons as it has sets.
+Lists of more than ``SHORT`` sets are first answered by stars: each set is compared with a hub of its list, and linked sets
+become one component. The first hub is the set in which least comes before the list's shingle, so the one that has the least of its own;
+later ones are drawn. After ``HUBS`` turns they go on as long as a turn ends an eighth of the pairs whose components differ. Then such pairs of all lists
+are compared. So every link between sets of different components is checked, while a list of thousands of near copies costs a few
+comparisons for each of its sets.
 
 Places in the common order bound what sets that meet at a shingle can share, so shingles that come late in a set lead to few
 pairs. Of a pair, the rarest shingles are compared first: those up to the point that both have listed are known to be shared or not, and the
@@ -32,16 +34,21 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lodestat.layout import bounded_broadcast
 from lodestat.llm.links import components
 from lodestat.llm.rows import table, text_bytes, unused
 from lodestat.session import store
 
 WORDS, PERCENT = 4, 85
 HUBS = 2
+SHORT = 8  # sets of a list whose pairs are compared without stars
+PART = 1 << 22  # bytes of texts or sets that a task works on at a time
+FEW_SETS = 1 << 16  # as many names go to the tasks that read the texts
 FREQUENT = 2  # distinct sets of one batch from which a shingle is reported
 KNOWN_FREQUENT = 1 << 20  # as many of them, the most frequent, are put last; the order affects work alone
 SMALLEST_LARGE, LARGEST_SMALL = 6, 19
@@ -59,7 +66,7 @@ class WordHashes(dict):
 class Shingler:
     """Sets of hashed shingles."""
 
-    def __init__(self, words: int = WORDS, room: int = 500_000):
+    def __init__(self, words: int = WORDS, room: int = 200_000):
         self.words, self.room, self.known = words, room, WordHashes()
 
     def __call__(self, text: bytes) -> np.ndarray:
@@ -103,22 +110,43 @@ def subset_keys(found: np.ndarray, percent: int = PERCENT):
             yield (first << 64 | second).to_bytes(16, "big"), len(found) - left_out
 
 
+def _parts(batches, column: str, size: int | None = None):
+    """The rows of batches, so many at a time that a column of theirs has about ``size`` bytes."""
+    size = size or PART
+    for batch in batches:
+        ends = np.cumsum(np.asarray(pc.fill_null(pc.binary_length(batch.column(column)), 0), np.int64))
+        begin = 0
+        while begin < len(ends):
+            end = int(np.searchsorted(ends, (ends[begin - 1] if begin else 0) + size, "left")) + 1
+            yield batch.slice(begin, end - begin)
+            begin = end
+
+
+def _repeated(sets: list[np.ndarray]):
+    """The values that several sets have, and in how many; in order."""
+    values = np.concatenate([np.zeros(0, np.uint64), *sets])
+    values.sort()
+    same = np.flatnonzero(values[1:] == values[:-1])
+    return np.unique(values[same]), np.unique(values[same], return_counts=True)[1] + 1
+
+
 def _sizes(words: int):
-    """``doc_id, n, set_id, text`` of each row, and ``shingle, n`` of shingles frequent in a batch, with ``doc`` False."""
+    """``doc_id, n, set_id, text`` of each row, and ``shingle, n`` of shingles frequent in a part, with ``doc`` False."""
 
     def run(batches):
         shingle = Shingler(words)
-        for batch in batches:
-            ids, texts = batch.column("doc_id"), batch.column("text").to_pylist()
-            sets = [shingle(text) for text in texts]
-            sizes = pa.array([len(s) for s in sets], pa.int64())
-            hashes = pa.array([set_hash(s) for s in sets], pa.int64())
+        for batch in _parts(batches, "text", 4 * PART):
+            ids, sets, lengths, names = batch.column("doc_id"), {}, [], []
+            for text in batch.column("text"):
+                found = shingle(text.as_py())
+                lengths.append(len(found))
+                names.append(set_hash(found))
+                sets[names[-1]] = found
             yield pa.RecordBatch.from_arrays(
-                [pa.array([True] * len(ids), pa.bool_()), ids, sizes, hashes, batch.column("text")],
+                [pa.array([True] * len(ids), pa.bool_()), ids, pa.array(lengths, pa.int64()), pa.array(names, pa.int64()), batch.column("text")],
                 names=["doc", "doc_id", "n", "set_id", "text"],
             )
-            distinct = {set_hash(s): s for s in sets}.values()
-            values, counts = np.unique(np.concatenate(list(distinct)), return_counts=True) if sets else (np.empty(0, np.uint64),) * 2
+            values, counts = _repeated(list(sets.values()))
             often = counts >= FREQUENT
             values = pa.array(values[often].view(np.int64))
             yield pa.RecordBatch.from_arrays(
@@ -158,7 +186,7 @@ def _entries(words: int, percent: int, boundary: int, shared):
     def run(batches):
         shingle, (frequent, known), seen = Shingler(words), shared.value, set()
         least = least_shared(boundary + 1, percent)
-        for batch in batches:
+        for batch in _parts(batches, "text"):
             columns = [[] for _ in range(6)]
             for name, text in zip(batch.column("set_id").to_pylist(), batch.column("text")):
                 if name in seen:
@@ -218,7 +246,7 @@ def _bloom(ids: DataFrame) -> np.ndarray:
 def _wanted_sets(words: int, shared):
     def run(batches):
         shingle, bits, seen = Shingler(words), shared.value, set()
-        for batch in batches:
+        for batch in _parts(batches, "text"):
             names, sets = [], []
             ids, texts = batch.column("set_id").to_numpy(), batch.column("text")
             slot = ids & (1 << BLOOM_BITS) - 1
@@ -237,10 +265,10 @@ def _wanted_sets(words: int, shared):
 
 def _linked(percent: int):
     def run(batches):
-        for batch in batches:
+        for batch in _parts(batches, "left_set"):
             keep = []
-            for left, right in zip(batch.column("left_set").to_pylist(), batch.column("right_set").to_pylist()):
-                one, two = np.frombuffer(left, np.uint64), np.frombuffer(right, np.uint64)
+            for left, right in zip(batch.column("left_set"), batch.column("right_set")):
+                one, two = np.frombuffer(left.as_buffer(), np.uint64), np.frombuffer(right.as_buffer(), np.uint64)
                 shared = len(np.intersect1d(one, two, assume_unique=True))
                 keep.append(100 * shared >= percent * (len(one) + len(two) - shared))
             yield pa.RecordBatch.from_arrays(
@@ -274,15 +302,18 @@ def _similar_size(one, other, percent: int):
     return F.lit(100) * F.least(one, other) >= F.lit(percent) * F.greatest(one, other)
 
 
+def _arrays(lists: pa.ListArray):
+    """Each list of numbers as an array, without a copy."""
+    ends, values = lists.offsets.to_numpy(), lists.values.to_numpy()
+    return (values[begin:end] for begin, end in itertools.pairwise(ends.tolist()))
+
+
 def _may_link(percent: int):
     """Pairs whose rarest shingles don't rule a link out."""
 
     def run(batches):
         for batch in batches:
-            sides = [
-                [np.array(v, np.int64) for v in batch.column(f"{side}_{name}").to_pylist()]
-                for side in ("a", "b") for name in ("prefix", "counts")
-            ]
+            sides = [_arrays(batch.column(f"{side}_{name}")) for side in ("a", "b") for name in ("prefix", "counts")]
             sizes = zip(batch.column("a_n").to_pylist(), batch.column("b_n").to_pylist())
             keep = []
             for one, one_counts, two, two_counts, (n_one, n_two) in zip(*sides, sizes):
@@ -307,6 +338,7 @@ class Comparer:
     def __init__(self, texts: DataFrame, entries: DataFrame, words: int, percent: int):
         self.texts, self.words, self.percent = texts, words, percent
         self.entries = entries.select("set_id", "n", "prefix", "counts")
+        self.sets: DataFrame | None = None
 
     def _side(self, name: str) -> DataFrame:
         return self.entries.select(
@@ -321,10 +353,22 @@ class Comparer:
         ids = store(likely.select(F.explode(F.array("a", "b")).alias("set_id")).distinct(), "jaccard-ids")
         if ids.isEmpty():
             return likely
-        bits = self.texts.sparkSession.sparkContext.broadcast(_bloom(ids))
-        sets = self.texts.mapInArrow(_wanted_sets(self.words, bits), "set_id long, found binary")
-        sets = store(sets.join(ids, "set_id").groupBy("set_id").agg(F.first("found").alias("found")), "jaccard-sets")
-        return compare(likely, sets, self.percent).filter("linked").select("a", "b")
+        return compare(likely, self._split(ids), self.percent).filter("linked").select("a", "b")
+
+    def _split(self, ids: DataFrame) -> DataFrame:
+        """``set_id, found`` of these sets, kept. Those of earlier calls are there."""
+        new = ids if self.sets is None else store(ids.join(self.sets.select("set_id"), "set_id", "left_anti"), "jaccard-ids")
+        count = new.count()
+        if count:
+            texts = self.texts
+            if count <= FEW_SETS:
+                texts = texts.join(bounded_broadcast(new, FEW_SETS), "set_id", "left_semi")
+            bits = texts.sparkSession.sparkContext.broadcast(_bloom(new))
+            made = texts.mapInArrow(_wanted_sets(self.words, bits), "set_id long, found binary")
+            made = store(made.join(new, "set_id").groupBy("set_id").agg(F.first("found").alias("found")), "jaccard-sets")
+            bits.destroy()
+            self.sets = made if self.sets is None else self.sets.unionByName(made)
+        return self.sets
 
 
 def _enough_left(n: str, place: str, other_n: str, other_place: str, percent: int):
@@ -337,6 +381,37 @@ def _enough_left(n: str, place: str, other_n: str, other_place: str, percent: in
     return F.lit(100 + percent) * most >= F.lit(percent) * (F.col(n) + F.col(other_n))
 
 
+def _open_lists(named: DataFrame) -> DataFrame:
+    """``key, sets, pairs`` of lists whose sets are of several components: all sets, and pairs of different components."""
+    each = named.groupBy("key", "root").agg(F.count("*").alias("n"))
+    sums = each.groupBy("key").agg(F.sum("n").alias("sets"), F.sum(F.col("n") * F.col("n")).alias("square"))
+    pairs = ((F.col("sets") * F.col("sets") - F.col("square")) / 2).alias("pairs")
+    return sums.select("key", "sets", pairs).filter("pairs > 0")
+
+
+def _joined(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """Components of known ones, as one edge per set, and new links."""
+    return components(links.unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))
+
+
+def _pairs_left(rest: DataFrame, percent: int) -> DataFrame:
+    """``a, b`` of sets of one list and different components that may link; ``key, set_id, n, place, root`` are the lists.
+
+    A set first meets the components of its list, by their sets' sizes, and then the sets of those that it may link with. So
+    sets of one component don't meet, however many they are. Sets of which too little is left for a larger partner stand on one side alone.
+    """
+    smaller = rest.filter(_enough_left("n", "place", "n", "place", percent)).select(
+        "key", *(F.col(c).alias(f"other_{c}") for c in ("set_id", "n", "place", "root"))
+    )
+    groups = smaller.groupBy("key", "other_n", "other_root").agg(F.min("other_place").alias("other_place"))
+    near = rest.join(groups, "key").filter("root <> other_root and other_n <= n")
+    near = near.filter(_similar_size(F.col("n"), F.col("other_n"), percent))
+    near = near.filter(_enough_left("n", "place", "other_n", "other_place", percent)).drop("other_place")
+    met = near.join(smaller, ["key", "other_n", "other_root"]).filter("other_n < n or other_set_id < set_id")
+    met = met.filter(_enough_left("n", "place", "other_n", "other_place", percent))
+    return met.select(F.least("set_id", "other_set_id").alias("a"), F.greatest("set_id", "other_set_id").alias("b")).distinct()
+
+
 def set_components(texts: DataFrame, boundary: int, frequent, words: int, percent: int) -> DataFrame:
     """``node, root`` of every set that links with another, of ``set_id, text``; sets aren't empty."""
     context = texts.sparkSession.sparkContext
@@ -358,33 +433,32 @@ def set_components(texts: DataFrame, boundary: int, frequent, words: int, percen
     )
     compare_all = Comparer(texts, known, words, percent)
 
-    pairs = None
-    for turn in range(HUBS):
-        chosen = F.min(F.struct(F.xxhash64("set_id", F.lit(turn)).alias("order"), "set_id", "n", "place")).alias("hub")
-        hubs = store(members.groupBy("key").agg(chosen), "jaccard-hubs")
-        met = members.join(hubs, "key").filter(F.col("set_id") != F.col("hub.set_id"))
+    roots, compared, before = components(links), None, math.inf
+    for turn in itertools.count():
+        named = members.join(roots, members["set_id"] == roots["node"], "left")
+        named = store(named.select("key", "set_id", "n", "place", F.coalesce("root", "set_id").alias("root")), "jaccard-named")
+        opened = store(_open_lists(named), "jaccard-open")
+        left = opened.filter(F.col("sets") > SHORT).agg(F.sum("pairs")).first()[0] or 0
+        if not left or turn >= HUBS and 8 * left > 7 * before:
+            break
+        before = left
+        # in the first turn the set with the least before the shingle, then any
+        order = F.col("place") / F.col("n") if turn == 0 else F.lit(0.0)
+        chosen = F.min(F.struct(order.alias("order"), F.xxhash64("set_id", F.lit(turn)).alias("draw"), "set_id", "n", "place", "root")).alias("hub")
+        long = named.join(opened.filter(F.col("sets") > SHORT), "key", "left_semi")
+        hubs = store(long.groupBy("key").agg(chosen), "jaccard-hubs")
+        met = long.join(hubs, "key").filter(F.col("root") != F.col("hub.root"))
         met = met.filter(_similar_size(F.col("n"), F.col("hub.n"), percent))
         met = met.filter(_enough_left("n", "place", "hub.n", "hub.place", percent))
-        met = met.select(F.least("set_id", "hub.set_id").alias("a"), F.greatest("set_id", "hub.set_id").alias("b"))
-        pairs = met if pairs is None else pairs.unionByName(met)
-    pairs = store(pairs.distinct(), "jaccard-stars")
-    roots = components(links.unionByName(compare_all.links(pairs)))
+        met = met.select(F.least("set_id", "hub.set_id").alias("a"), F.greatest("set_id", "hub.set_id").alias("b")).distinct()
+        pairs = store(met if compared is None else met.join(compared, ["a", "b"], "left_anti"), "jaccard-stars")
+        compared = pairs if compared is None else compared.unionByName(pairs)
+        roots = _joined(roots, compare_all.links(pairs))
 
     # all that is left: pairs of one list in different components
-    named = members.join(roots, members["set_id"] == roots["node"], "left")
-    named = named.select("key", "set_id", "n", "place", F.coalesce("root", "set_id").alias("root"))
-    named = store(named, "jaccard-named")
-    opened = named.groupBy("key").agg(F.min("root").alias("first"), F.max("root").alias("last"))
-    opened = store(opened.filter("first <> last").select("key"), "jaccard-open")
     rest = store(named.join(opened, "key", "left_semi"), "jaccard-rest")
-    other = rest.select("key", *(F.col(c).alias(f"other_{c}") for c in ("set_id", "n", "place", "root")))
-    met = rest.join(other, "key").filter("set_id < other_set_id and root <> other_root")
-    met = met.filter(_similar_size(F.col("n"), F.col("other_n"), percent))
-    met = met.filter(_enough_left("n", "place", "other_n", "other_place", percent))
-    met = met.select(F.col("set_id").alias("a"), F.col("other_set_id").alias("b")).distinct()
-    found = compare_all.links(met.join(pairs, ["a", "b"], "left_anti"))
-    # known components as one edge per set, so that the new links join them
-    return components(found.unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))
+    met = _pairs_left(rest, percent)
+    return _joined(roots, compare_all.links(met if compared is None else met.join(compared, ["a", "b"], "left_anti")))
 
 
 def near_groups(
