@@ -15,6 +15,7 @@ import functools
 import hashlib
 import os
 
+import numpy as np
 import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -25,6 +26,7 @@ from lodestat.llm.pieces import BOUNDARY, Remembered, pieces, portions
 from lodestat.llm.rows import table, unused
 
 FILE = "byte_bpe_multi_50k.tiktoken"
+AT_ONCE = 1 << 19  # characters of texts encoded together
 
 
 class Prefixes:
@@ -94,7 +96,7 @@ class Encoder:
     @staticmethod
     def _looked_up(texts, known: Remembered):
         """The results for the pieces of each text."""
-        for portion in portions(texts):
+        for portion in portions(texts, AT_ONCE):
             split = [pieces(text) for text in portion]
             known.cover(set().union(*split))
             for found in split:
@@ -138,14 +140,21 @@ def encoder(path: str) -> Encoder:
 
 
 def _each_text(path: str | None, results):
-    """Batches with the columns that ``results(encoder, texts)`` gives in place of the last column, the texts."""
+    """Batches with the columns that ``results(encoder, texts)`` gives in place of the last column, the texts.
+
+    Each portion of texts makes a batch of its own, so what a task holds doesn't follow the batches that it gets.
+    """
 
     def run(batches):
         codec = encoder(path or public_tokenizers.path(FILE))
         for batch in batches:
             *kept, texts = batch.columns
-            made = results(codec, texts.to_pylist())
-            yield pa.RecordBatch.from_arrays([*kept, *made.values()], names=[*batch.schema.names[:-1], *made])
+            start = 0
+            for portion in portions((text.as_py() for text in texts), AT_ONCE):
+                made = results(codec, portion)
+                some = [column.slice(start, len(portion)) for column in kept]
+                yield pa.RecordBatch.from_arrays([*some, *made.values()], names=[*batch.schema.names[:-1], *made])
+                start += len(portion)
 
     return run
 
@@ -158,10 +167,14 @@ def _digest_columns(codec: Encoder, texts):
 
 
 def _id_columns(codec: Encoder, texts):
-    found = list(codec.encode_all(texts))
+    ids, decoded = [], []
+    for found in codec.encode_all(texts):
+        ids.append(pa.array(found, pa.int32()))
+        decoded.append(codec.decode(found))
+    ends = np.cumsum([0, *map(len, ids)], dtype=np.int32)
     return {
-        "token_ids": pa.array(found, pa.list_(pa.int32())),
-        "decoded": pa.array([codec.decode(f) for f in found], pa.binary()),
+        "token_ids": pa.ListArray.from_arrays(pa.array(ends), pa.concat_arrays([*ids, pa.array([], pa.int32())])),
+        "decoded": pa.array(decoded, pa.binary()),
     }
 
 

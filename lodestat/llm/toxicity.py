@@ -48,7 +48,7 @@ class Words:
             for word in found:
                 if word not in numbers:
                     numbers[word] = len(numbers)
-            out.append(np.fromiter(map(numbers.__getitem__, found), np.int64, len(found)))
+            out.append(np.fromiter(map(numbers.__getitem__, found), np.int32, len(found)))
         return out
 
     def buckets(self, first: int = 0):
@@ -200,10 +200,20 @@ def train(texts: list[bytes], labels: np.ndarray, seed: int = 7) -> Network:
     firsts = np.searchsorted(owner, np.arange(len(rows)))
     moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in network.p.items()}
     step = 0
+
+    def of_words(distinct):
+        size = sizes[distinct]
+        inner = np.repeat(starts[distinct] - (np.cumsum(size) - size), size) + np.arange(size.sum())
+        return whole[distinct], trigrams[inner], size
+
+    def logits(rows):
+        distinct, places = _numbered_anew(rows)
+        return network.logits(network.projected(network.inputs(of_words(distinct))), places)
+
     for epoch in range(EPOCHS):
         picked = [firsts + draw.integers(0, [len(r) for r in rows])]
         if epoch >= 2:
-            scores = network.logits(network.projected(network.inputs((whole, trigrams, sizes))), every)
+            scores = np.concatenate([logits(every[at : at + AT_ONCE]) for at in range(0, len(every), AT_ONCE)])
             order = np.lexsort((scores, owner))
             top = order[np.append(firsts[1:], len(owner)) - 1]
             # random windows of toxic texts may be clean
@@ -214,9 +224,7 @@ def train(texts: list[bytes], labels: np.ndarray, seed: int = 7) -> Network:
         for at in range(0, len(chosen), BATCH):
             some = chosen[at : at + BATCH]
             distinct, places = _numbered_anew(every[some])
-            size = sizes[distinct]
-            inner = np.repeat(starts[distinct] - (np.cumsum(size) - size), size) + np.arange(size.sum())
-            grads = network.gradients((whole[distinct], trigrams[inner], size), places, labels[owner[some]])
+            grads = network.gradients(of_words(distinct), places, labels[owner[some]])
             step += 1
             for name, grad in grads.items():
                 first, second = moments[name]

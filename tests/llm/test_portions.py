@@ -1,7 +1,7 @@
 import numpy as np
 import pyarrow as pa
 
-from lodestat.llm import jaccard_join, toxicity
+from lodestat.llm import jaccard_join, prefix_bpe, toxicity
 
 
 class Shared:
@@ -42,3 +42,29 @@ def test_a_batch_is_scored_in_portions():
     old = pa.RecordBatch.from_arrays([pa.array([1]), pa.array([b"word"])], names=["doc_id", "made"])
     (part,) = toxicity._score(Shared(None), None, "made")([old])
     assert part.to_pydict() == {"doc_id": [1], "made": [0.0]}
+
+
+def test_a_batch_is_encoded_in_portions():
+    texts = ["word " * 60_000] * 4 + ["", "one two"]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(6), pa.int64()), pa.array(texts)], names=["doc_id", "text_"])
+    for results in (prefix_bpe._id_columns, prefix_bpe._digest_columns):
+        parts = list(prefix_bpe._each_text(None, results)([batch]))
+        assert [p.num_rows for p in parts] == [2, 2, 2]
+        whole = results(prefix_bpe.encoder(prefix_bpe.public_tokenizers.path(prefix_bpe.FILE)), texts)
+        got = pa.Table.from_batches(parts).to_pydict()
+        assert got == {"doc_id": list(range(6)), **{name: column.to_pylist() for name, column in whole.items()}}
+    (part,) = prefix_bpe._each_text(None, prefix_bpe._id_columns)([batch.slice(4, 1)])
+    assert part.to_pydict() == {"doc_id": [4], "token_ids": [[]], "decoded": [b""]}
+
+
+def test_training_scores_its_windows_in_portions(monkeypatch):
+    texts = [b" ".join(b"w%d" % (40 * k + i) for i in range(40)) for k in range(60)]
+    labels = (np.arange(60) % 2).astype(np.float32)
+    seen, inputs = [], toxicity.Network.inputs
+    monkeypatch.setattr(toxicity, "BATCH", 16)
+    want = toxicity.train(texts, labels).p
+    monkeypatch.setattr(toxicity, "AT_ONCE", 16)
+    monkeypatch.setattr(toxicity.Network, "inputs", lambda self, buckets: seen.append(len(buckets[0])) or inputs(self, buckets))
+    got = toxicity.train(texts, labels).p
+    assert max(seen) <= 16 * toxicity.WINDOW < 60 * 40 and want.keys() == got.keys()
+    assert all(np.allclose(want[name], got[name], atol=1e-3) for name in got)
