@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from lodestat.layout import bounded_broadcast
 from lodestat.llm.rows import lower_ascii, table
-from lodestat.session import store
+from lodestat.session import settle, store
 
 WINDOW = 10
 GRAM = 5
@@ -150,8 +150,12 @@ def _same(left: DataFrame, right: DataFrame, a: str | None = None, b: str | None
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` without a hit, with all their columns."""
-    found = contamination(docs, items, id_col, text_col).filter("contaminated").select("doc_id", "text_hash").distinct()
-    found = store(found, "winnow-drop").select(F.col("doc_id").alias("drop_id_"), F.col("text_hash").alias("drop_hash_"))
+
+    def hit():
+        found = contamination(docs, items, id_col, text_col).filter("contaminated")
+        return found.select(F.col("doc_id").alias("drop_id_"), F.col("text_hash").alias("drop_hash_")).distinct()
+
+    found = settle(docs.sparkSession, hit, "winnow-drop")
     text_hash = F.xxhash64(docs[text_col], F.octet_length(docs[text_col]))
     same = (text_hash == found["drop_hash_"]) & docs[id_col].eqNullSafe(found["drop_id_"])
     return docs.join(found, same, "left_anti")

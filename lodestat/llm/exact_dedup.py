@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestat.llm.rows import ASCII_SPACE, table, text_bytes, unused
-from lodestat.session import store
+from lodestat.session import settle, store
 
 FIRST_DIGIT = 256
 GROWTH = 8
@@ -111,7 +111,7 @@ def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     uid = unused("row_uid", docs)
     rows = store(docs.withColumn(uid, F.monotonically_increasing_id()), "radix-rows")
     slim = rows.select(F.col(uid).alias("row_key"), F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    kept = kept_keys(slim)
+    kept = settle(docs.sparkSession, lambda: kept_keys(slim), "radix-kept")
     return rows.join(kept, rows[uid] == kept["row_key"], "left_semi").select(*docs.columns)
 
 

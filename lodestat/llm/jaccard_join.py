@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 from lodestat.layout import bounded_broadcast
 from lodestat.llm.links import components
 from lodestat.llm.rows import table, text_bytes, unused
-from lodestat.session import store
+from lodestat.session import settle, store
 
 WORDS, PERCENT = 4, 85
 HUBS = 2
@@ -489,8 +489,12 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     rows = store(docs.withColumn(uid, F.monotonically_increasing_id()), "jaccard-rows")
     name = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.col(uid).alias("row_key"))
     slim = rows.select(name.alias("doc_id"), F.col(text_col).alias("text"))
-    kept = near_groups(slim, **settings).filter(F.col("doc_id.row_key") == F.col("component_id.row_key"))
-    kept = kept.select(F.col("doc_id.row_key").alias("row_key"))
+
+    def kept_keys():
+        kept = near_groups(slim, **settings).filter(F.col("doc_id.row_key") == F.col("component_id.row_key"))
+        return kept.select(F.col("doc_id.row_key").alias("row_key"))
+
+    kept = settle(docs.sparkSession, kept_keys, "jaccard-kept")
     return rows.join(kept, rows[uid] == kept["row_key"], "left_semi").select(*docs.columns)
 
 
