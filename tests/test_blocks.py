@@ -1,3 +1,5 @@
+import pickle
+
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -82,3 +84,40 @@ def test_counts_are_not_sorted_to_meet_their_clusters(spark):
         assert sorted(tuple(r) for r in found.collect()) == [(0, 0, 0), (1, 0, 10)]
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_packed_entries_are_small_and_the_same():
+    draw = np.random.default_rng(4)
+    room = blocks.Room()
+    for entries in (draw.integers(0, 20_000, 5000), draw.integers(1, 9, 5000), draw.integers(1, 9, 5000) / draw.integers(20, 40, 5000)):
+        packed = blocks.small(entries)
+        assert len(pickle.dumps(packed)) <= 0.4 * len(pickle.dumps(entries))
+        assert room.filled("x", packed, entries.dtype).tolist() == entries.tolist()
+    odd = np.array([0.0, -0.0, np.nan, np.inf, -1.5] * 99)
+    assert room.filled("x", blocks.small(odd)).tobytes() == odd.tobytes()
+    alone = draw.random(100)
+    assert blocks.small(alone) is alone and blocks.small(np.array([-1, 70_000])).tolist() == [-1, 70_000]
+    with pytest.raises(IndexError):
+        room.places("y", np.array([3, 5]), 5)
+
+
+def test_sums_of_waiting_entries_are_those_of_all():
+    draw = np.random.default_rng(5)
+    sums, want = blocks.Sums(50), np.zeros(50)
+    for n in (3, 0, 40, 20, 200, 1):
+        at, value = draw.integers(0, 50, n), draw.integers(0, 9, n)
+        places, added = sums.add(n)
+        places[:], added[:] = at, value
+        want += np.bincount(at, weights=value, minlength=50)
+    assert sums.finish().tolist() == want.tolist()
+
+
+def test_chosen_rows_are_packed_anew(monkeypatch):
+    monkeypatch.setattr(blocks, "BLOCK", 4)
+    found = [(np.array([1.0, 2, 3]), np.array([2, 0, 3]), np.arange(5), np.arange(5) / 4), (np.array([4.0]), np.array([2]), np.array([7, 8]), np.array([1.0, 2]))]
+    room, got = blocks.Room(), []
+    for keys, sizes, idx, val in blocks.chosen(found, lambda y, *_: y != 1):
+        ends = np.cumsum(sizes)
+        idx, val = room.filled("i", idx, np.int64).tolist(), room.filled("v", val).tolist()
+        got += [(y, idx[e - n : e], val[e - n : e]) for y, n, e in zip(keys, sizes, ends)]
+    assert got == [(2, [], []), (3, [2, 3, 4], [0.5, 0.75, 1.0]), (4, [7, 8], [1.0, 2.0])]

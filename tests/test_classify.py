@@ -1,10 +1,11 @@
+import dataclasses
 import random
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lodestat.operators import classify, evaluate, slices
+from lodestat.operators import blocks, classify, evaluate, slices
 from lodestat.plans import cases
 from lodestat.sources.documents import class_label
 
@@ -211,3 +212,42 @@ def test_slices_add_up_like_vectors(spark):
         k: v for k, v in enumerate(sum(draws).tolist()) if v
     }
     assert packed.count() < parts * 4 + 1 and not slices.vector(packed.limit(0), size).any()
+
+
+@pytest.mark.parametrize("weighted", [False, True])
+def test_documents_without_cost_are_left_out(spark, weighted):
+    """The course is that of all documents, though most passes read few of them."""
+    draw = np.random.default_rng(8)
+    rows = []
+    for i, y in enumerate(draw.integers(0, 2, 300) * 2.0 - 1):
+        # a word tells the sides apart, but for a few documents
+        key = 40 + int(y < 0) if i % 100 else 40 + int(y > 0)
+        terms = np.append(np.sort(draw.choice(40, 6, False)), key)
+        val = draw.random(7) * 0.1 + (terms >= 40)
+        rows.append((f"d{i}", float(y), terms.tolist(), (val / val.sum()).tolist()))
+    frame = spark.createDataFrame(rows, "doc_id string, label double, idx array<int>, val array<double>").repartition(3)
+    objective = classify.weighted_hinge_objective(150, 150) if weighted else classify.hinge_objective(300)
+    made = classify.train(frame, 42, objective, max_iter=60, precision=1e-9)
+    plain = classify.train(frame, 42, dataclasses.replace(objective, flat=None), max_iter=60, precision=1e-9)
+    assert plain.whole_passes == len(plain.steps) == len(made.steps) and made.whole_passes < 0.7 * len(made.steps)
+    assert made.weights == pytest.approx(plain.weights)
+    assert [s[1:] for s in made.steps] == [pytest.approx(s[1:]) for s in plain.steps]
+
+
+def test_documents_far_from_reach_have_no_cost():
+    draw = np.random.default_rng(9)
+    sizes = draw.integers(0, 9, 400)
+    idx, val = draw.integers(0, 30, sizes.sum()), draw.normal(size=sizes.sum())
+    y, w = draw.integers(0, 2, 400) * 2.0 - 1, draw.normal(size=30)
+
+    def theta(weights):
+        return blocks.row_sums(val * weights[idx], sizes)
+
+    reach = classify.Reach.ahead(1.0, w, 0.02 * draw.normal(size=30))
+    near = reach.near(y, theta(w), sizes, val)
+    assert 0 < near.sum() < 400 and near[y * theta(w) <= 1].all()
+    for _ in range(200):
+        way = draw.normal(size=30) * (draw.random(30) < draw.random())
+        way *= min(reach.most / max(np.abs(way).max(), 1e-9), reach.length / max(np.linalg.norm(way), 1e-9)) * (1 - 1e-9)
+        assert reach.holds(w + way) and (y * theta(w + way) > 1)[~near].all()
+    assert not reach.holds(w + 2 * reach.most)
