@@ -28,6 +28,8 @@ SWEEPS = 200
 
 # Term id under which a pass reports documents per cluster.
 DOCS_ROW = -1
+# Numbers of a run of documents while their clusters are drawn, so that a core's cache holds them.
+CACHED = 1 << 16
 
 
 def smoothed_pi(doc_counts: DataFrame, k: int = CLUSTERS, alpha: float = ALPHA) -> DataFrame:
@@ -155,32 +157,54 @@ def share_parameters(spark: SparkSession, params: MixtureParameters) -> Broadcas
     return spark.sparkContext.broadcast((params.log_pi, params.log_mu))
 
 
-def _draw(log_pi, log_mu, u, sizes, idx, cnt):
-    """Clusters of documents with ``sizes`` entries each, one after the other, under the parameters."""
-    loglik = np.tile(log_pi, (len(u), 1))
-    words = np.flatnonzero(sizes)
-    if len(words):
-        starts, cnt = (np.cumsum(sizes) - sizes)[words], cnt.astype("float64")
-        for j, row in enumerate(log_mu):
-            loglik[words, j] += np.add.reduceat(cnt * row.take(idx), starts)
+def _by_term(log_mu: np.ndarray) -> np.ndarray:
+    """A row for each term, as :func:`_draw` reads them."""
+    return np.ascontiguousarray(log_mu.T)
+
+
+def _draw(log_pi, by_term, u, sizes, idx, cnt, room):
+    """Clusters of documents with ``sizes`` entries each, one after the other, under the parameters.
+
+    A document is one product of its counts and the rows of its terms. Rows are fetched for a run of documents at a time, which
+    a core's cache holds; what a document gets doesn't depend on its run.
+    """
+    k = by_term.shape[1]
+    loglik = np.zeros((len(u), k))
+    ends = np.cumsum(sizes, dtype=np.int64)
+    first = 0
+    while first < len(u):
+        begin = int(ends[first - 1]) if first else 0
+        last = max(first + 1, int(np.searchsorted(ends, begin + CACHED // k, "right")))
+        some = idx[begin : ends[last - 1]]
+        rows = by_term.take(some, axis=0, out=room.of("rows", len(some), np.float64, k), mode="clip")
+        start = begin
+        for row, end in zip(loglik[first:last], ends[first:last].tolist()):
+            if end > start:
+                np.dot(cnt[start:end], rows[start - begin : end - begin], out=row)
+            start = end
+        first = last
+    loglik += log_pi
     weight = np.exp(loglik - loglik.max(axis=1, keepdims=True))
     steps = np.cumsum(weight, axis=1)
     cluster = (steps <= (u * steps[:, -1])[:, None]).sum(axis=1)
-    return np.minimum(cluster, len(log_pi) - 1)
+    return np.minimum(cluster, k - 1)
 
 
 def _adder(shared: Broadcast):
     """Task-side counts over blocks ``u, sizes, idx, cnt``: documents per cluster, then words by cluster and term."""
 
     def add_up(found):
-        log_pi, log_mu = shared.value
-        k, size = log_mu.shape
-        total = np.zeros(k + k * size)
+        (log_pi, log_mu), room = shared.value, blocks.Room()
+        (k, size), by_term = log_mu.shape, _by_term(log_mu)
+        docs, words = np.zeros(k), blocks.Sums(k * size)
         for u, sizes, idx, cnt in found:
-            cluster = _draw(log_pi, log_mu, u, sizes, idx, cnt)
-            total[:k] += np.bincount(cluster, minlength=k)
-            total[k:] += np.bincount(np.repeat(cluster, sizes) * size + idx, weights=cnt, minlength=k * size)
-        return total
+            idx, cnt = room.places("idx", idx, size), room.filled("cnt", cnt)
+            cluster = _draw(log_pi, by_term, u, sizes, idx, cnt, room)
+            docs += np.bincount(cluster, minlength=k)
+            places, added = words.add(len(idx))
+            np.add(np.repeat(cluster * size, sizes), idx, out=places)
+            added[:] = cnt
+        return np.concatenate([docs, words.finish()])
 
     return add_up
 
@@ -203,8 +227,8 @@ def _uniforms(seed: int, sweep: int, ids: list[str | None]) -> np.ndarray:
     """The numbers of :func:`uniform` for ids as text."""
     head = f"{seed}:{sweep}"
     keys = (head if i is None else f"{head}:{i}" for i in ids)
-    bits = (int.from_bytes(hashlib.md5(key.encode(), usedforsecurity=False).digest()[:7], "big") >> 4 for key in keys)
-    return np.fromiter(bits, np.float64, len(ids)) / 2**52
+    found = b"".join([hashlib.md5(key.encode(), usedforsecurity=False).digest() for key in keys])
+    return (np.frombuffer(found, ">u8")[::2] >> 12) / 2.0**52
 
 
 def _sweep_total(parts: RDD, shared: Broadcast, seed: int, sweep: int, size: int) -> np.ndarray:
@@ -240,8 +264,12 @@ def assign(rows: DataFrame, shared: Broadcast, seed: int, sweep: int) -> DataFra
     def label(batches):
         import pyarrow as pa
 
+        (log_pi, log_mu), room = shared.value, blocks.Room()
+        by_term = _by_term(log_mu)
         for batch in blocks.cut(batches, "idx"):
-            cluster = _draw(*shared.value, *blocks.arrays(batch, "u", "idx", "cnt"))
+            u, sizes, idx, cnt = blocks.arrays(batch, "u", "idx", "cnt")
+            idx, cnt = room.places("idx", idx, len(by_term)), room.filled("cnt", cnt)
+            cluster = _draw(log_pi, by_term, u, sizes, idx, cnt, room)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(cluster.astype("int32"))], names=["doc_id", "cluster"]
             )

@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lodestat.operators import clusters, mixture
+from lodestat.operators import blocks, clusters, mixture
 from lodestat.plans.posts import PostCorpus, cluster_posts
 
 K, V = 3, 6
@@ -148,3 +148,16 @@ def test_every_line_is_a_post(spark, text_file):
     found = cluster_posts(spark, path, k=2, sweeps=3, seed=1)
     assert found.doc_counts().agg(F.sum("n")).first()[0] == 5
     assert found.assigned().groupBy("cluster").count().agg(F.sum("count")).first()[0] == 5
+
+
+def test_a_document_draws_the_same_in_any_run(monkeypatch):
+    draw = np.random.default_rng(6)
+    sizes = draw.integers(0, 30, 200)
+    idx, cnt = draw.integers(0, 40, sizes.sum()), draw.integers(1, 4, sizes.sum()).astype("float64")
+    log_mu, log_pi, u = np.log(draw.dirichlet(np.ones(40), 5)), np.log(draw.dirichlet(np.ones(5))), draw.random(200)
+    plain = np.array([log_pi + cnt[e - n : e] @ log_mu[:, idx[e - n : e]].T for n, e in zip(sizes, np.cumsum(sizes))])
+    steps = np.cumsum(np.exp(plain - plain.max(1, keepdims=True)), axis=1)
+    want = [int(np.searchsorted(s, v * s[-1], "right")) for s, v in zip(steps, u)]
+    for cached in (1, 200, 1 << 16):
+        monkeypatch.setattr(mixture, "CACHED", cached)
+        assert mixture._draw(log_pi, mixture._by_term(log_mu), u, sizes, idx, cnt, blocks.Room()).tolist() == want
